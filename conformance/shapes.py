@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from lociweave.operators.callstats import call_statistics
 from lociweave.operators.documents import annotated_documents, basic_documents
 from lociweave.schemas import CONSEQUENCE, LOCAL_CALL
 
-from conformance.views import view
+from conformance.views import TABLES, with_views
 
 
 class Given:
@@ -18,14 +21,21 @@ class Given:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._registered: set[str] = set()
 
     def sql(self, text: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, text)
+        """A statement over the given tables and the views."""
+        full = with_views(text)
+        for table in TABLES:
+            if table not in self._registered and re.search(rf"\b{table}\b", full):
+                self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+                self._registered.add(table)
+        return self.spark.sql(full)
 
     def table(self, name: str) -> DataFrame:
         return self.sql(f"select * from {name}")
 
-    @property
+    @cached_property
     def sites(self) -> DataFrame:
         return self.table("fx_sites").select(
             "contig", "pos",
@@ -33,7 +43,7 @@ class Given:
             F.array_compact(F.array("rsid")).alias("rsids"),
         )
 
-    @property
+    @cached_property
     def calls(self) -> DataFrame:
         return self.table("fx_lgt").select(
             "contig", "pos", "sample_id",
@@ -45,15 +55,15 @@ class Given:
             "gq", "dp",
         )
 
-    @property
+    @cached_property
     def blocks(self) -> DataFrame:
         return self.table("fx_ref")
 
-    @property
+    @cached_property
     def samples(self) -> DataFrame:
         return self.table("fx_samples").select("sample_id")
 
-    @property
+    @cached_property
     def records(self) -> DataFrame:
         """Variant records and block records as a gVCF scan gives them."""
         called = F.struct(
@@ -73,7 +83,7 @@ class Given:
         )
         return variants.unionByName(blocks)
 
-    @property
+    @cached_property
     def consequences(self) -> DataFrame:
         """Nested consequence records; absent lists are null for one record kind, empty for the other."""
         terms = F.split("consequence", "&")
@@ -95,31 +105,31 @@ class Given:
         )
         return self.table("fx_vep").select("contig", "pos", "ref", "alt", vep.cast(CONSEQUENCE).alias("vep"))
 
-    @property
+    @cached_property
     def frequency(self) -> DataFrame:
         return self.table("fx_gnomad").select(
             "contig", "pos", F.array("ref", "alt").alias("alleles"), "af", "af_nfe"
         )
 
-    @property
+    @cached_property
     def statistics(self) -> DataFrame:
         return call_statistics(self.sites, self.calls, self.blocks)
 
-    @property
+    @cached_property
     def annotated(self) -> DataFrame:
         return annotate_variants(
             self.statistics, self.consequences, self.table("fx_clinvar"), self.table("fx_cadd"), self.frequency
         )
 
-    @property
+    @cached_property
     def documents(self) -> DataFrame:
         return annotated_documents(self.annotated)
 
-    @property
+    @cached_property
     def basic(self) -> DataFrame:
         return basic_documents(self.statistics)
 
-    @property
+    @cached_property
     def document_keys(self) -> DataFrame:
         """Documents without statistics, for lookups that read identity fields only."""
         return self.sql(

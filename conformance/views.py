@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
-
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -49,11 +47,8 @@ from part""",
     "fx_calls": f"""
 select l_partkey as site_id, l_suppkey as sidx, {_sample('l_suppkey')} as sample_id,
   q % 10 as code, q + 20 as gq, ln * 5 as dp, (l_suppkey % 3 = 0) as third
-from (select l_partkey, l_suppkey, cast(l_quantity as int) as q, l_linenumber as ln,
-        row_number() over (partition by l_partkey, l_suppkey
-          order by l_orderkey, l_linenumber, l_quantity, l_extendedprice) as rn
-      from lineitem) t
-where rn = 1""",
+from (select l_partkey, l_suppkey, cast(max(l_quantity) as int) as q, max(l_linenumber) as ln
+      from lineitem group by l_partkey, l_suppkey) t""",
     # Local genotypes: l0/l1 index [0, la1, la2]; null l0 = no-call.
     "fx_lgt": """
 select c.site_id, c.sample_id, s.contig, s.pos, c.gq, c.dp,
@@ -71,16 +66,14 @@ select site_id, sample_id, contig, pos, gq, dp,
 from fx_lgt""",
     # Reference blocks, never overlapping within a sample.
     "fx_ref": f"""
-select sample_id, {_contig('ci')} as contig,
-  cast(bin * 50000 + 1 + o_orderkey % 1000 as int) as pos,
-  cast(bin * 50000 + 1 + o_orderkey % 1000 + cast(floor(o_totalprice) as bigint) % 49000 as int) as end_pos,
+select {_sample('sidx')} as sample_id, {_contig('ci')} as contig,
+  cast(bin * 50000 + 1 + first_order % 1000 as int) as pos,
+  cast(bin * 50000 + 1 + first_order % 1000 + top_price % 49000 as int) as end_pos,
   cast(20 + bin as int) as gq, cast(5 + ci % 10 as int) as dp
-from (select {_sample('o_custkey % (select count(*) from supplier)')} as sample_id,
-        o_orderkey % 25 as ci, (o_orderkey * 31) % 20 as bin, o_orderkey, o_totalprice,
-        row_number() over (partition by o_custkey % (select count(*) from supplier), o_orderkey % 25,
-          (o_orderkey * 31) % 20 order by o_orderkey) as rn
-      from orders) t
-where rn = 1""",
+from (select sidx, ci, bin, min(o_orderkey) as first_order, max(cast(floor(o_totalprice) as bigint)) as top_price
+      from (select o_custkey % (select count(*) from supplier) as sidx, o_orderkey % 25 as ci,
+              (o_orderkey * 31) % 20 as bin, o_orderkey, o_totalprice from orders) o
+      group by sidx, ci, bin) t""",
     # Raw per-sample records; two record shapes at one locus where site_id ends in 2.
     "fx_gvcf": """
 select c.sample_id, c.sidx, case when s.contig = 'MT' then 'chrM' else concat('chr', s.contig) end as raw_contig, s.pos,
@@ -200,12 +193,3 @@ def with_views(sql: str) -> str:
     if body[:5].lower() == "with ":
         body = ", " + body[5:] if ctes else body
     return (f"with {', '.join(ctes)} " if ctes else "") + body
-
-
-def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A statement over the tables of ``sf_dir`` and the views, as a DataFrame."""
-    text = with_views(sql)
-    for table in TABLES:
-        if re.search(rf"\b{table}\b", text):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(text)

@@ -9,6 +9,7 @@ the earlier calls.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -139,10 +140,9 @@ def calls_from_records(records: DataFrame, sites: DataFrame) -> DataFrame:
 def combine(records: DataFrame, previous: Cohort | None = None) -> Cohort:
     """Merge parsed records, and optionally an earlier cohort, into one cohort.
 
-    ``records`` is read several times (sites, calls, blocks): hand in a
-    written table. New samples must not already be in ``previous``. The
-    ``calls`` and ``ref_blocks`` of the result hold earlier entries
-    unchanged; :func:`new_entries` gives the added ones alone.
+    New samples must not already be in ``previous``. The ``calls`` and
+    ``ref_blocks`` of the result hold earlier entries unchanged;
+    :func:`new_entries` gives the added ones alone.
     """
     added = new_entries(records, previous.sites if previous else None)
     if previous is None:
@@ -155,16 +155,27 @@ def combine(records: DataFrame, previous: Cohort | None = None) -> Cohort:
     )
 
 
-def new_entries(records: DataFrame, previous_sites: DataFrame | None = None) -> Cohort:
-    """The full site list after the merge, with the entries of the new samples only."""
+def new_entries(
+    records: DataFrame,
+    previous_sites: DataFrame | None = None,
+    samples: DataFrame | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, _: df,
+) -> Cohort:
+    """The full site list after the merge, with the entries of the new samples only.
+
+    ``samples`` lists the new samples where that is known, e.g. from file
+    names; it also keeps those without any record. ``stage`` may write an
+    intermediate table and return what it reads back: the variant records
+    feed three outputs and the site list two.
+    """
     kept = filter_records(records)
-    variants = one_record_per_locus(variant_records(kept))
-    sites = unify_alleles(variants, previous_sites)
+    variants = stage(one_record_per_locus(variant_records(kept)), "variants")
+    sites = stage(unify_alleles(variants, previous_sites), "sites")
     return Cohort(
         sites=sites,
         calls=calls_from_records(variants, sites),
         ref_blocks=carve_blocks(block_records(kept), variants).drop("bin"),
-        samples=records.select("sample_id").distinct(),
+        samples=(records if samples is None else samples).select("sample_id").distinct(),
     )
 
 

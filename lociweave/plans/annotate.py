@@ -10,6 +10,7 @@ from lociweave.operators.callstats import call_statistics
 from lociweave.operators.combine import Cohort
 from lociweave.operators.metadata import join_metadata
 from lociweave.operators.report import dimensions
+from lociweave.session import replacing
 from lociweave.sources import tables
 from lociweave.sources.vcf import read_sites
 
@@ -43,9 +44,8 @@ def annotate(
     tables.write_annotated(
         annotate_variants(stats, consequences, clinical, scores, frequency), f"{out}/variants", overwrite
     )
-    join_metadata(cohort.samples, metadata).write.mode("overwrite" if overwrite else "errorifexists").parquet(
-        f"{out}/samples"
-    )
+    samples = join_metadata(cohort.samples, metadata)
+    (replacing(samples) if overwrite else samples.write.mode("errorifexists")).parquet(f"{out}/samples")
     spark = cohort.sites.sparkSession
     return dimensions(
         tables.read_annotated(spark, f"{out}/variants"), spark.read.parquet(f"{out}/samples").select(F.col("sample_id"))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from lociweave.operators import runs as run_ops
 from lociweave.operators.combine import Cohort, new_entries, shared_samples
+from lociweave.session import staged
 from lociweave.sources import tables
-from lociweave.sources.vcf import good_records
+from lociweave.sources.vcf import good_records, sample_of
 from lociweave.streaming.file_ingest import file_status, ingest_new_files, staged_records
 
 
@@ -32,6 +33,10 @@ class IngestFolders:
     def cohort(self) -> str:
         return f"{self.root}/cohort"
 
+    @property
+    def temp(self) -> str:
+        return f"{self.root}/temp"
+
     @property
     def log(self) -> str:
         return f"{self.root}/run_log"
@@ -97,11 +102,15 @@ def ingest(spark: SparkSession, gvcf_dir: str, root: str, date: str, max_files_p
         earlier = completed_runs(spark, folders)
         previous = tables.read_cohort(spark, folders.cohort, earlier) if earlier else None
         records = good_records(staged_records(spark, folders.staging, files))
-        added = new_entries(records, previous.sites if previous else None)
+        samples = files.select(sample_of(F.col("gvcf")).alias("sample_id"))
         if previous is not None:
-            repeated = shared_samples(previous.samples, added.samples)
+            repeated = shared_samples(previous.samples, samples)
             if not repeated.isEmpty():
                 raise ValueError(f"samples already in the cohort, e.g. {repeated.first().sample_id}")
+        added = new_entries(
+            records, previous.sites if previous else None, samples,
+            stage=lambda df, name: staged(df, f"{folders.temp}/{run_id}/{name}"),
+        )
         tables.write_cohort_run(added, folders.cohort, run_id)
         n_samples = tables.sample_count(tables.read_cohort(spark, folders.cohort, [*earlier, run_id]))
     except BaseException:

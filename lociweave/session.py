@@ -1,10 +1,8 @@
-"""Session settings and the one place where lineage is cut."""
+"""Session settings, and how tables are written and staged."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 def build_session(app: str = "lociweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,16 +27,28 @@ def build_session(app: str = "lociweave", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder the cluster names.
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Bring rows of a key together before a write, with even partitions.
+
+    Unlike a plain repartition this lets run-time statistics split a hot key
+    over several tasks and merge small ones.
+    """
+    return df.hint("rebalance", *keys)
+
+
+def replacing(df: DataFrame) -> DataFrameWriter:
+    """Writer that replaces the whole target, whatever the session's partition overwrite mode."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate table once and read it back: later uses start from its files.
 
-    A folder is set here only when the session names none, as in tests.
+    ``path`` is on the storage all executors share, so nothing is recomputed
+    from the start when some of them are lost.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lociweave-checkpoint-"))
-    return df.checkpoint(eager=True)
+    replacing(df).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

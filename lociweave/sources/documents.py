@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.operators.documents import DOC_COLUMNS, as_declared, bulk_lines, upsert_documents
 from lociweave.schemas import VARIANT_DOCS
-from lociweave.session import path_exists, table_complete
+from lociweave.session import balanced, path_exists, replacing, table_complete
+from lociweave.sources.tables import clustered
 
 
 def write_documents(docs: DataFrame, path: str) -> int:
@@ -15,15 +16,9 @@ def write_documents(docs: DataFrame, path: str) -> int:
 
     The count is taken by the write itself, not by a second run of the plan.
     """
-    from pyspark.sql import Observation
-
     seen = Observation()
-    declared = as_declared(docs).observe(seen, F.count(F.lit(1)).alias("n"))
-    (
-        declared.repartition("chrom", F.shiftright("pos", 20))
-        .sortWithinPartitions("chrom", "pos", "ref", "alt")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("chrom").parquet(path)
-    )
+    declared = clustered(as_declared(docs), "chrom").observe(seen, F.count(F.lit(1)).alias("n"))
+    replacing(declared).partitionBy("chrom").parquet(path)
     return seen.get["n"]
 
 
@@ -49,16 +44,12 @@ def write_bulk_text(docs: DataFrame, index: str, path: str) -> None:
 
     Every task writes its own file; nothing passes through the driver.
     """
-    bulk_lines(docs, index).write.mode("overwrite").text(path)
+    replacing(bulk_lines(docs, index)).text(path)
 
 
 def write_by_interval(results: DataFrame, interval_id: str, path: str) -> None:
     """Stored batch lookup, ordered by interval so that one id reads a narrow range."""
-    (
-        results.repartition(interval_id)
-        .sortWithinPartitions(interval_id, "rank")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    )
+    replacing(balanced(results, interval_id).sortWithinPartitions(interval_id, "rank")).parquet(path)
 
 
 def read_interval(spark: SparkSession, path: str, interval_id: str, value: str) -> DataFrame:

@@ -10,25 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave import schemas
 from lociweave.operators.combine import Cohort
-from lociweave.session import path_exists, table_complete
+from lociweave.session import balanced, path_exists, replacing, table_complete
 
 CLUSTER_BITS = 20
 
 
-def _clustered(df: DataFrame) -> DataFrame:
-    """Rows of a megabase together and in order, so that files cover narrow position ranges."""
-    near = F.shiftright("pos", CLUSTER_BITS)
-    return df.repartition("contig", near).sortWithinPartitions("contig", "pos")
+def clustered(df: DataFrame, contig: str = "contig") -> DataFrame:
+    """Rows of a megabase together and in order, so that files cover narrow position ranges.
 
-
-def _replace(df: DataFrame) -> DataFrameWriter:
-    """Writer that replaces the whole target, whatever the session's partition overwrite mode."""
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    A crowded megabase is split over several files, each in order.
+    """
+    near = df.withColumn("_near", F.shiftright("pos", CLUSTER_BITS))
+    return balanced(near, contig, "_near").sortWithinPartitions(contig, "pos").drop("_near")
 
 
 def write_cohort_run(entries: Cohort, base: str, run_id: str) -> None:
@@ -37,11 +35,11 @@ def write_cohort_run(entries: Cohort, base: str, run_id: str) -> None:
     A repeated write of the same run replaces its own folders only, so a
     crashed run can be done again.
     """
-    parts = {"calls": _clustered(entries.calls), "ref_blocks": _clustered(entries.ref_blocks)}
+    parts = {"calls": clustered(entries.calls), "ref_blocks": clustered(entries.ref_blocks)}
     for name, df in parts.items():
-        _replace(df).partitionBy("contig").parquet(f"{base}/{name}/run_id={run_id}")
-    _replace(entries.samples).parquet(f"{base}/samples/run_id={run_id}")
-    _replace(_clustered(entries.sites)).partitionBy("contig").parquet(f"{base}/sites/run_id={run_id}")
+        replacing(df).partitionBy("contig").parquet(f"{base}/{name}/run_id={run_id}")
+    replacing(entries.samples).parquet(f"{base}/samples/run_id={run_id}")
+    replacing(clustered(entries.sites)).partitionBy("contig").parquet(f"{base}/sites/run_id={run_id}")
 
 
 def read_cohort(spark: SparkSession, base: str, run_ids: list[str]) -> Cohort:
@@ -49,11 +47,8 @@ def read_cohort(spark: SparkSession, base: str, run_ids: list[str]) -> Cohort:
 
     def entries(name: str, ddl: str) -> DataFrame:
         folders = [f"{base}/{name}/run_id={r}" for r in run_ids]
-        frames = [spark.read.schema(ddl).parquet(f) for f in folders]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
+        reader = spark.read.schema(f"{ddl}, run_id string").option("basePath", f"{base}/{name}")
+        return reader.parquet(*folders).drop("run_id")
 
     return Cohort(
         sites=spark.read.schema(schemas.SITES).parquet(f"{base}/sites/run_id={run_ids[-1]}"),
@@ -66,7 +61,7 @@ def read_cohort(spark: SparkSession, base: str, run_ids: list[str]) -> Cohort:
 def write_standalone(cohort: Cohort, path: str) -> None:
     """One self-contained cohort folder; refuses to replace an existing one."""
     for name in ("calls", "ref_blocks", "sites"):
-        _clustered(getattr(cohort, name)).write.mode("errorifexists").partitionBy("contig").parquet(f"{path}/{name}")
+        clustered(getattr(cohort, name)).write.mode("errorifexists").partitionBy("contig").parquet(f"{path}/{name}")
     cohort.samples.write.mode("errorifexists").parquet(f"{path}/samples")
 
 
@@ -87,9 +82,9 @@ def sample_count(cohort: Cohort) -> int:
 
 def write_annotated(variants: DataFrame, path: str, overwrite: bool = False) -> None:
     """Annotated variants, by contig and in position order."""
-    _clustered(variants).write.mode("overwrite" if overwrite else "errorifexists").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy("contig").parquet(path)
+    near = clustered(variants)
+    writer = replacing(near) if overwrite else near.write.mode("errorifexists")
+    writer.partitionBy("contig").parquet(path)
 
 
 def read_annotated(spark: SparkSession, path: str) -> DataFrame:
@@ -110,7 +105,7 @@ def materialize_once(spark: SparkSession, path: str, source: str | None, build:
     if not table_complete(spark, path):
         if source is None or not path_exists(spark, source):
             raise FileNotFoundError(f"neither the table {path} nor its source {source} exists")
-        _replace(build()).parquet(path)
+        replacing(clustered(build())).parquet(path)
     return spark.read.parquet(path)
 
 

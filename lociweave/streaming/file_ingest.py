@@ -12,7 +12,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.session import path_exists
+from lociweave.session import path_exists, replacing
 from lociweave.sources.vcf import gvcf_lines, parse_gvcf
 
 STATUS = "gvcf string, n_records long, status string, seconds double, error string, batch_id long"
@@ -24,19 +24,20 @@ def _write_batch(out: str):
         started = time.monotonic()
         staged = f"{out}/records/batch_id={batch_id}"
         # One pass over the compressed text; everything else reads the staged table.
-        parse_gvcf(lines).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+        replacing(parse_gvcf(lines)).parquet(staged)
         elapsed = time.monotonic() - started
         counts = spark.read.parquet(staged).groupBy("gvcf").agg(
             F.count_if(~F.col("is_header")).alias("n_records"), F.count_if("malformed").alias("n_malformed")
         )
         failed = F.col("n_malformed") > 0
         share = F.lit(elapsed) / counts.select(F.greatest(F.count("*"), F.lit(1))).scalar()
-        counts.select(
+        status = counts.select(
             "gvcf", "n_records",
             F.when(failed, "failed").otherwise("done").alias("status"),
             share.cast("double").alias("seconds"),
             F.when(failed, F.substring(F.format_string("%d malformed lines", "n_malformed"), 1, 200)).alias("error"),
-        ).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/status/batch_id={batch_id}")
+        )
+        replacing(status).parquet(f"{out}/status/batch_id={batch_id}")
 
     return write
 
