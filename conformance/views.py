@@ -144,11 +144,12 @@ select distinct {_sample('user_id % (select count(*) from supplier)')} as sample
     when 'signup' then 'HP:0000004' else 'HP:0000005' end as hpo_id
 from events""",
     # Versioned terms, two versions each; the last region's term is unknown.
-    "fx_hpo_terms": """
-select concat('HP:', lpad(cast(r.r_regionkey + 1 as string), 7, '0')) as hpo_id,
-  concat(r.r_name, '_', v.version) as hpo_term, v.version as hpo_version, v.valid_from
-from region r join (select 'v1' as version, '2024-01-01' as valid_from
-                    union all select 'v2', '2025-01-01') v on r.r_name < 'MIDDLE EAST'""",
+    "fx_hpo_terms": " union all ".join(
+        f"""select concat('HP:', lpad(cast(r_regionkey + 1 as string), 7, '0')) as hpo_id,
+  concat(r_name, '_{version}') as hpo_term, '{version}' as hpo_version, '{valid_from}' as valid_from
+from region where r_name < 'MIDDLE EAST'"""
+        for version, valid_from in (("v1", "2024-01-01"), ("v2", "2025-01-01"))
+    ),
     # Run log, one row per (run, file); seq is the position in the list.
     "fx_manifest": f"""
 select seq,
