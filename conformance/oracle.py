@@ -163,6 +163,23 @@ n as (select *, n_hom_ref + n_het + n_hom_var as total from two)
 select contig, pos, n_hom_ref, n_het, n_hom_var,
   round((2e0 * n_hom_ref + n_het) * (2e0 * n_hom_var + n_het) / nullif((2e0 * total - 1) * total, 0), 6) as het_freq_hwe
 from n""",
+    "hwe_p_values": f"""
+with {STATS}, two as (
+  select site_id, t.n_het, t.hom0 + t.n_het + t.hom1 as n, least(2 * t.hom0, 2 * t.hom1) + t.n_het as rare
+  from fx_sites s join stats t using (site_id) where s.alt2 is null and t.hom0 + t.n_het + t.hom1 > 0),
+h as (select *, unnest(range(rare % 2, rare + 1, 2)) as hets from two),
+w as (
+  select *, hets * ln(2) - lgamma(hets + 1) - lgamma((rare - hets) / 2 + 1)
+    - lgamma(n - hets - (rare - hets) / 2 + 1) as log_p from h),
+p as (select *, exp(log_p - max(log_p) over (partition by site_id)) as p from w),
+q as (select *, max(case when hets = n_het then p end) over (partition by site_id) as seen from p),
+v as (
+  select site_id,
+    sum(case when abs(p - seen) <= 1e-10 * seen then p / 2 when p < seen then p else 0 end) / sum(p) as two_sided,
+    sum(case when hets > n_het then p when hets = n_het then p / 2 else 0 end) / sum(p) as excess
+  from q group by site_id)
+select s.contig, s.pos, round(v.two_sided, 6) as p_value_hwe, round(v.excess, 6) as p_value_excess_het
+from fx_sites s left join v using (site_id)""",
     "join_frequency": """
 select s.contig, s.pos, concat_ws(',', s.ref, s.alt, s.alt2) as alleles, f.af as gnomad_af, f.af_nfe as gnomad_nonfin
 from fx_sites s left join fx_gnomad f
