@@ -99,7 +99,7 @@ def carved_reference_bases(g: Given) -> DataFrame:
 
 @query
 def genotype_qc(g: Given) -> DataFrame:
-    qc = callstats.genotype_qc(g.sites, g.calls, g.blocks, g.samples)
+    qc = callstats.variant_quality(g.sites, g.calls, g.blocks, g.samples).select("contig", "pos", "variant_qc.*")
     moments = []
     for name in ("dp", "gq"):
         s = F.col(f"{name}_stats")

@@ -32,6 +32,11 @@ def first_per_key(table: DataFrame, keys: list[str], order: list[str] | None = N
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
+def unique_rows(table: DataFrame, keys: list[str], unique: bool) -> DataFrame:
+    """``table`` as it is when an import already left one row per key, else reduced to that."""
+    return table if unique else first_per_key(table, keys)
+
+
 def with_variant_key(sites: DataFrame) -> DataFrame:
     """Adds ``ref`` and ``alt`` (index 0 and 1 of the allele list)."""
     return sites.withColumn("ref", F.get("alleles", F.lit(0))).withColumn("alt", first_alt(F.col("alleles")))
@@ -48,13 +53,13 @@ def frequency_table(sites_file: DataFrame) -> DataFrame:
     )
 
 
-def join_frequency(variants: DataFrame, frequency: DataFrame) -> DataFrame:
+def join_frequency(variants: DataFrame, frequency: DataFrame, unique: bool = False) -> DataFrame:
     """Left join on locus and the whole allele list; adds ``gnomad_af``, ``gnomad_nonfin``.
 
     The allele list is a residual condition beside the shared key: a site
     with more alleles than the frequency row misses.
     """
-    right = with_variant_key(first_per_key(frequency, ["contig", "pos", "alleles"]))
+    right = with_variant_key(unique_rows(frequency, ["contig", "pos", "alleles"], unique))
     right = right.select(
         *VARIANT_KEY, F.col("alleles").alias("_alleles"),
         F.col("af").alias("gnomad_af"), F.col("af_nfe").alias("gnomad_nonfin"),
@@ -65,9 +70,9 @@ def join_frequency(variants: DataFrame, frequency: DataFrame) -> DataFrame:
     return joined.select("l.*", "r.gnomad_af", "r.gnomad_nonfin")
 
 
-def join_clinical(variants: DataFrame, clinical: DataFrame) -> DataFrame:
+def join_clinical(variants: DataFrame, clinical: DataFrame, unique: bool = False) -> DataFrame:
     """Left join of clinical significance on the exact alleles; adds ``clnsig``, ``clnrevstat``."""
-    right = first_per_key(clinical.select(*VARIANT_KEY, "clnsig", "clnrevstat"), VARIANT_KEY)
+    right = unique_rows(clinical.select(*VARIANT_KEY, "clnsig", "clnrevstat"), VARIANT_KEY, unique)
     return variants.join(right, VARIANT_KEY, "left")
 
 
@@ -76,15 +81,15 @@ def score_table(snvs: DataFrame, indels: DataFrame) -> DataFrame:
     return snvs.unionByName(indels)
 
 
-def join_scores(variants: DataFrame, scores: DataFrame) -> DataFrame:
+def join_scores(variants: DataFrame, scores: DataFrame, unique: bool = False) -> DataFrame:
     """Left join of deleteriousness scores; adds ``cadd_phred``, ``cadd_raw``."""
-    right = first_per_key(scores.select(*VARIANT_KEY, "cadd_phred", "cadd_raw"), VARIANT_KEY)
+    right = unique_rows(scores.select(*VARIANT_KEY, "cadd_phred", "cadd_raw"), VARIANT_KEY, unique)
     return variants.join(right, VARIANT_KEY, "left")
 
 
-def join_consequence(variants: DataFrame, consequences: DataFrame) -> DataFrame:
+def join_consequence(variants: DataFrame, consequences: DataFrame, unique: bool = False) -> DataFrame:
     """Left join of one consequence record per variant; adds the nested ``vep``."""
-    right = first_per_key(consequences.select(*VARIANT_KEY, "vep"), VARIANT_KEY)
+    right = unique_rows(consequences.select(*VARIANT_KEY, "vep"), VARIANT_KEY, unique)
     return variants.join(right, VARIANT_KEY, "left")
 
 
@@ -103,12 +108,17 @@ def annotate_variants(
     clinical: DataFrame,
     scores: DataFrame,
     frequency: DataFrame,
+    unique: bool = False,
 ) -> DataFrame:
-    """``variants`` (sites with statistics) plus flat ``vep``, ``gnomad_af``, ``gnomad_nonfin``."""
-    keyed = with_variant_key(variants)
-    joined = join_frequency(
-        join_scores(join_clinical(join_consequence(keyed, consequences), clinical), scores), frequency
-    )
+    """``variants`` (sites with statistics) plus flat ``vep``, ``gnomad_af``, ``gnomad_nonfin``.
+
+    ``unique`` says that the four tables hold one row per key, as
+    :func:`lociweave.sources.tables.materialize_once` leaves them.
+    """
+    joined = join_consequence(with_variant_key(variants), consequences, unique)
+    joined = join_clinical(joined, clinical, unique)
+    joined = join_scores(joined, scores, unique)
+    joined = join_frequency(joined, frequency, unique)
     return joined.withColumn("vep", flat_vep(F.col("vep"))).select(
         *variants.columns, "vep", "gnomad_af", "gnomad_nonfin"
     )

@@ -19,9 +19,36 @@ from lociweave.operators.blocks import (
 )
 
 KEY = ["contig", "pos"]
+MEASURES = ["gq", "dp"]
 
 
-def allele_tallies(calls: DataFrame) -> DataFrame:
+def no_rows() -> Column:
+    return F.lit(0).cast("long")
+
+
+def _moment_sums(present: Column | None = None) -> list[Column]:
+    """Count, sum, sum of squares, min and max of gq and dp; integers, so exact in any order."""
+    out = []
+    for name in MEASURES:
+        value = F.col(name) if present is None else F.when(present, F.col(name))
+        whole = value.cast("long")
+        out += [
+            F.count(value).alias(f"{name}_n"), F.sum(whole).alias(f"{name}_sum"),
+            F.sum(whole * whole).alias(f"{name}_sq"),
+            F.min(value).alias(f"{name}_min"), F.max(value).alias(f"{name}_max"),
+        ]
+    return out
+
+
+def _merged_moments() -> list[Column]:
+    out = []
+    for name in MEASURES:
+        out += [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("n", "sum", "sq")]
+        out += [F.min(f"{name}_min").alias(f"{name}_min"), F.max(f"{name}_max").alias(f"{name}_max")]
+    return out
+
+
+def allele_tallies(calls: DataFrame, moments: bool = False) -> DataFrame:
     """Counts per (site, global allele) over the explicit calls.
 
     A call is one row per allele here; whole-call counts are taken on the row
@@ -31,7 +58,7 @@ def allele_tallies(calls: DataFrame) -> DataFrame:
     """
     alleles = F.col("LGT.alleles")
     per_allele = calls.select(
-        *KEY, "LA", is_hom(alleles).alias("hom"), is_het(alleles).alias("het"),
+        *KEY, "LA", *(MEASURES if moments else []), is_hom(alleles).alias("hom"), is_het(alleles).alias("het"),
         is_non_ref(alleles).alias("non_ref"), F.posexplode_outer(alleles).alias("nth", "local"),
     ).withColumn("allele", global_allele(F.col("LA"), F.col("local")))
     first = F.col("nth") == 0
@@ -41,18 +68,20 @@ def allele_tallies(calls: DataFrame) -> DataFrame:
         F.count_if(first).alias("n_called"),
         F.count_if(first & F.col("het")).alias("n_het"),
         F.count_if(first & F.col("non_ref")).alias("n_non_ref"),
+        *(_moment_sums(F.coalesce(first, F.lit(True))) if moments else []),
     )
 
 
-def _explicit_totals(calls: DataFrame) -> DataFrame:
+def _explicit_totals(calls: DataFrame, moments: bool = False) -> DataFrame:
     """One row per site; the list it gathers has one element per allele."""
     counted = F.struct("allele", F.struct("n", "n_hom").alias("counts"))
-    return allele_tallies(calls).groupBy(*KEY).agg(
+    return allele_tallies(calls, moments).groupBy(*KEY).agg(
         F.map_from_entries(F.collect_list(F.when(F.col("allele").isNotNull(), counted))).alias("by_allele"),
         F.sum("n").alias("an"),
         F.sum("n_called").alias("called"),
         F.sum("n_het").alias("het"),
         F.sum("n_non_ref").alias("non_ref"),
+        *(_merged_moments() if moments else []),
     )
 
 
@@ -64,6 +93,29 @@ def _per_allele(alleles: Column, by_allele: Column, n_ref: Column, field: str, p
     return F.transform(alleles, one)
 
 
+def _counted(joined: DataFrame) -> DataFrame:
+    """Explicit totals and ``n_ref`` to per-allele counts and ``_an``."""
+    n_ref, by_allele = F.col("n_ref"), F.col("by_allele")
+    return (
+        joined.withColumn("_ac", _per_allele(F.col("alleles"), by_allele, n_ref, "n", 2))
+        .withColumn("_hom", _per_allele(F.col("alleles"), by_allele, n_ref, "n_hom", 1))
+        .withColumn("_an", F.coalesce(F.col("an"), no_rows()) + 2 * n_ref)
+        .withColumn("_called", F.coalesce(F.col("called"), no_rows()) + n_ref)
+    )
+
+
+def _call_fields() -> list[Column]:
+    return [
+        F.col("_ac").alias("AC"),
+        F.transform("_ac", lambda ac: F.try_divide(ac, F.col("_an"))).alias("AF"),
+        F.col("_an").alias("AN"),
+        F.col("_hom").alias("homozygote_count"),
+        F.col("_called").alias("n_called"),
+        F.coalesce(F.col("het"), no_rows()).alias("n_het"),
+        F.coalesce(F.col("non_ref"), no_rows()).alias("n_non_ref"),
+    ]
+
+
 def call_statistics(
     sites: DataFrame, calls: DataFrame, blocks: DataFrame, blocks_disjoint: bool = False
 ) -> DataFrame:
@@ -74,103 +126,71 @@ def call_statistics(
     """
     pieces = clip_to_bins(blocks) if blocks_disjoint else carve_blocks(blocks, calls)
     joined = coverage_at_sites(sites, pieces).join(_explicit_totals(calls), KEY, "left")
-    zero = F.lit(0).cast("long")
-    n_ref = F.col("n_ref")
-    counted = (
-        joined.withColumn("_ac", _per_allele(F.col("alleles"), F.col("by_allele"), n_ref, "n", 2))
-        .withColumn("_hom", _per_allele(F.col("alleles"), F.col("by_allele"), n_ref, "n_hom", 1))
-        .withColumn("_an", F.coalesce(F.col("an"), zero) + 2 * n_ref)
-    )
-    qc = F.struct(
-        F.col("_ac").alias("AC"),
-        F.transform("_ac", lambda ac: F.try_divide(ac, F.col("_an"))).alias("AF"),
-        F.col("_an").alias("AN"),
-        F.col("_hom").alias("homozygote_count"),
-        (F.coalesce(F.col("called"), zero) + n_ref).alias("n_called"),
-        F.coalesce(F.col("het"), zero).alias("n_het"),
-        F.coalesce(F.col("non_ref"), zero).alias("n_non_ref"),
-    )
-    return counted.select(*sites.columns, qc.alias("variant_qc"))
+    return _counted(joined).select(*sites.columns, F.struct(*_call_fields()).alias("variant_qc"))
 
 
 def _moments(prefix: str) -> Column:
     n, total, squares = (F.col(f"{prefix}_{part}") for part in ("n", "sum", "sq"))
-    mean = F.try_divide(total, n)
     # n * sum(x^2) - sum(x)^2 in decimal: exact, so never negative by rounding.
     spread = n.cast("decimal(38,0)") * squares - total.cast("decimal(38,0)") * total
     return F.struct(
-        mean.alias("mean"),
+        F.try_divide(total, n).alias("mean"),
         F.try_divide(F.sqrt(spread.cast("double")), n.cast("double")).alias("stdev"),
         F.col(f"{prefix}_min").alias("min"),
         F.col(f"{prefix}_max").alias("max"),
     )
 
 
-def genotype_qc(
+def variant_quality(
     sites: DataFrame, calls: DataFrame, blocks: DataFrame, samples: DataFrame, blocks_disjoint: bool = False
 ) -> DataFrame:
-    """Site-level quality: call counts, call rate and dp / gq moments over all entries present.
+    """``sites`` plus the whole ``variant_qc``: :func:`call_statistics`, call rate, dp / gq moments, Hardy-Weinberg.
 
-    Moments run over explicit entries (no-calls included, they carry dp and
-    gq) and covering blocks alike.
+    One pass over the calls and one over the blocks. Moments run over all
+    entries present: explicit ones (no-calls included, they carry dp and gq)
+    and covering blocks.
     """
     pieces = clip_to_bins(blocks) if blocks_disjoint else carve_blocks(blocks, calls)
-    alleles = F.col("LGT.alleles")
-    aggregates = [
-        F.lit(0).cast("long").alias("n_ref"),
-        F.count("LGT").alias("called"),
-        F.count_if(is_het(alleles)).alias("het"),
-        F.count_if(is_non_ref(alleles)).alias("non_ref"),
-    ]
-    for name in ("gq", "dp"):
-        value = F.col(name).cast("long")
-        aggregates += [
-            F.count(name).alias(f"{name}_n"), F.sum(value).alias(f"{name}_sum"),
-            F.sum(value * value).alias(f"{name}_sq"),
-            F.min(name).alias(f"{name}_min"), F.max(name).alias(f"{name}_max"),
-        ]
-    explicit = calls.groupBy(*KEY).agg(*aggregates)
+    explicit = _explicit_totals(calls, moments=True).withColumn("n_ref", no_rows())
     covered = block_summary_at_sites(sites, pieces)
-    merged = [F.sum(c).alias(c) for c in ("n_ref", "called", "het", "non_ref")]
-    for name in ("gq", "dp"):
-        merged += [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("n", "sum", "sq")]
-        merged += [F.min(f"{name}_min").alias(f"{name}_min"), F.max(f"{name}_max").alias(f"{name}_max")]
-    totals = explicit.unionByName(covered, allowMissingColumns=True).groupBy(*KEY).agg(*merged)
-    n_samples = samples.select(F.count("*")).scalar()
-    zero = F.lit(0).cast("long")
-    called = F.coalesce(F.col("called"), zero) + F.coalesce(F.col("n_ref"), zero)
-    return (
-        sites.join(totals, KEY, "left")
-        .withColumn("_called", called)
-        .withColumn("_samples", n_samples)
-        .select(
-            *sites.columns,
-            F.col("_called").alias("n_called"),
-            (F.col("_samples") - F.col("_called")).alias("n_not_called"),
-            F.try_divide(F.col("_called"), F.col("_samples")).alias("call_rate"),
-            F.coalesce(F.col("het"), zero).alias("n_het"),
-            F.coalesce(F.col("non_ref"), zero).alias("n_non_ref"),
-            _moments("dp").alias("dp_stats"),
-            _moments("gq").alias("gq_stats"),
-        )
+    both = explicit.unionByName(covered, allowMissingColumns=True).groupBy(*KEY).agg(
+        F.any_value("by_allele", True).alias("by_allele"),
+        *[F.sum(c).alias(c) for c in ("an", "called", "het", "non_ref", "n_ref")],
+        *_merged_moments(),
     )
+    joined = sites.join(both, KEY, "left").withColumn("n_ref", F.coalesce(F.col("n_ref"), no_rows()))
+    counted = with_hardy_weinberg(_counted(joined), F.col("_hom"), F.coalesce(F.col("het"), no_rows())).withColumn(
+        "_samples", samples.select(F.count("*")).scalar()
+    )
+    qc = F.struct(
+        *_call_fields(),
+        (F.col("_samples") - F.col("_called")).alias("n_not_called"),
+        F.try_divide(F.col("_called"), F.col("_samples")).alias("call_rate"),
+        *[_moments(name).alias(f"{name}_stats") for name in ("dp", "gq")],
+        "het_freq_hwe", "p_value_hwe", "p_value_excess_het",
+    )
+    return counted.select(*sites.columns, qc.alias("variant_qc"))
 
 
-def hardy_weinberg(stats: DataFrame) -> DataFrame:
-    """Adds Hardy-Weinberg fields to the output of :func:`call_statistics`.
+def with_hardy_weinberg(df: DataFrame, homozygotes: Column, het: Column) -> DataFrame:
+    """Adds genotype counts and Hardy-Weinberg fields.
 
     Two-allele sites only; others get nulls. The reference homozygotes
-    include the covering blocks, as ``homozygote_count[0]`` does.
+    include the covering blocks, as element 0 of ``homozygotes`` does.
     """
     two = F.size("alleles") == 2
-    hom = F.col("variant_qc.homozygote_count")
-    counted = (
-        stats.withColumn("n_hom_ref", F.when(two, F.get(hom, F.lit(0))))
-        .withColumn("n_het", F.when(two, F.col("variant_qc.n_het")))
-        .withColumn("n_hom_var", F.when(two, F.get(hom, F.lit(1))))
+    return (
+        df.withColumn("n_hom_ref", F.when(two, F.get(homozygotes, F.lit(0))))
+        .withColumn("n_het", F.when(two, het))
+        .withColumn("n_hom_var", F.when(two, F.get(homozygotes, F.lit(1))))
         .withColumn("het_freq_hwe", het_freq_hwe(F.col("n_hom_ref"), F.col("n_het"), F.col("n_hom_var")))
         .withColumn("_p", hwe_p_values("n_hom_ref", "n_het", "n_hom_var"))
+        .withColumn("p_value_hwe", F.col("_p.p_value_hwe"))
+        .withColumn("p_value_excess_het", F.col("_p.p_value_excess_het"))
+        .drop("_p")
     )
-    return counted.withColumn("p_value_hwe", F.col("_p.p_value_hwe")).withColumn(
-        "p_value_excess_het", F.col("_p.p_value_excess_het")
-    ).drop("_p")
+
+
+def hardy_weinberg(stats: DataFrame) -> DataFrame:
+    """The Hardy-Weinberg fields onto the output of :func:`call_statistics`."""
+    return with_hardy_weinberg(stats, F.col("variant_qc.homozygote_count"), F.col("variant_qc.n_het"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.operators.annotate import annotate_variants, frequency_table
-from lociweave.operators.callstats import call_statistics
+from lociweave.operators.callstats import call_statistics, variant_quality
 from lociweave.operators.combine import Cohort
 from lociweave.operators.metadata import join_metadata
 from lociweave.operators.report import dimensions
@@ -22,7 +22,7 @@ def load_frequency(spark: SparkSession, table_path: str, sites_vcf: str | None)
         sites = read_sites(spark, sites_vcf, ["AF", "AF_nfe"])
         return frequency_table(sites.withColumnsRenamed({"AF": "af", "AF_nfe": "af_nfe"}))
 
-    return tables.materialize_once(spark, table_path, sites_vcf, build)
+    return tables.materialize_once(spark, table_path, sites_vcf, build, ["contig", "pos", "alleles"])
 
 
 def annotate(
@@ -34,13 +34,20 @@ def annotate(
     out: str,
     metadata: DataFrame | None = None,
     overwrite: bool = False,
+    quality: bool = True,
 ) -> DataFrame:
     """Statistics, four annotation joins and sample metadata; returns the dimensions row.
 
+    ``quality`` stores the whole ``variant_qc``; without it only the fields
+    the documents read are computed, which skips the dp / gq summaries.
+
     Blocks of a stored cohort are disjoint from its calls, so the statistics
     need no sample-level join. Counts are taken from the written tables.
     """
-    stats = call_statistics(cohort.sites, cohort.calls, cohort.ref_blocks, blocks_disjoint=True)
+    if quality:
+        stats = variant_quality(cohort.sites, cohort.calls, cohort.ref_blocks, cohort.samples, blocks_disjoint=True)
+    else:
+        stats = call_statistics(cohort.sites, cohort.calls, cohort.ref_blocks, blocks_disjoint=True)
     tables.write_annotated(
         annotate_variants(stats, consequences, clinical, scores, frequency), f"{out}/variants", overwrite
     )

@@ -12,8 +12,8 @@ from lociweave.sources.documents import read_documents, write_by_interval, write
 
 
 def export_annotated(variants: DataFrame, path: str) -> int:
-    """Full documents; returns how many."""
-    return write_documents(annotated_documents(variants), path)
+    """Full documents of a stored variant table, written in its order; returns how many."""
+    return write_documents(annotated_documents(variants), path, in_order=True)
 
 
 def export_basic(cohort: Cohort, path: str) -> int:

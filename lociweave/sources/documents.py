@@ -11,13 +11,17 @@ from lociweave.session import balanced, path_exists, replacing, table_complete
 from lociweave.sources.tables import clustered
 
 
-def write_documents(docs: DataFrame, path: str) -> int:
+def write_documents(docs: DataFrame, path: str, in_order: bool = False) -> int:
     """Documents by chrom and in position order; returns how many were written.
 
     The count is taken by the write itself, not by a second run of the plan.
+    ``in_order`` says that ``docs`` come from a table already written that
+    way: each task then keeps its rows and nothing is shuffled.
     """
     seen = Observation()
-    declared = clustered(as_declared(docs), "chrom").observe(seen, F.count(F.lit(1)).alias("n"))
+    declared = as_declared(docs)
+    ordered = declared.sortWithinPartitions("chrom", "pos") if in_order else clustered(declared, "chrom")
+    declared = ordered.observe(seen, F.count(F.lit(1)).alias("n"))
     replacing(declared).partitionBy("chrom").parquet(path)
     return seen.get["n"]
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave import schemas
+from lociweave.operators.annotate import first_per_key
 from lociweave.operators.combine import Cohort
 from lociweave.session import balanced, path_exists, replacing, table_complete
 
@@ -97,15 +98,17 @@ def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize_once(spark: SparkSession, path: str, source: str | None, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table at ``path``, built from ``source`` on first use.
+def materialize_once(
+    spark: SparkSession, path: str, source: str | None, build: Callable[[], DataFrame], keys: list[str]
+) -> DataFrame:
+    """The table at ``path``, built from ``source`` on first use with one row per key.
 
     A write that did not finish does not count as the table.
     """
     if not table_complete(spark, path):
         if source is None or not path_exists(spark, source):
             raise FileNotFoundError(f"neither the table {path} nor its source {source} exists")
-        replacing(clustered(build())).parquet(path)
+        replacing(clustered(first_per_key(build(), keys))).parquet(path)
     return spark.read.parquet(path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lociweave.functions.genotypes import call_text, local_to_global, parse_call
 from lociweave.functions.hardy import exact_mid_p
-from lociweave.operators.callstats import call_statistics, genotype_qc, hardy_weinberg
+from lociweave.operators.callstats import call_statistics, hardy_weinberg, variant_quality
 from lociweave.operators.densify import dense_entries
 from lociweave.schemas import CALLS, LOCAL_CALL, REF_BLOCKS
 
@@ -97,7 +97,7 @@ def test_dense_entries(cohort, rows):
 
 
 def test_genotype_qc(cohort):
-    r = {(x.contig, x.pos): x for x in genotype_qc(*cohort).collect()}
+    r = {(x.contig, x.pos): x.variant_qc for x in variant_quality(*cohort).collect()}
     a = r["1", 100]
     assert (a.n_called, a.n_not_called, a.call_rate, a.n_het, a.n_non_ref) == (3, 2, 0.6, 1, 2)
     gq, dp = [50, 60, 0, 30], [10, 20, 0, 6]
@@ -105,6 +105,13 @@ def test_genotype_qc(cohort):
     assert isclose(a.dp_stats.stdev, np.std(dp)) and (a.dp_stats.min, a.dp_stats.max) == (0, 20)
     none = r["2", 10]
     assert (none.n_called, none.n_not_called, none.dp_stats.mean, none.dp_stats.min) == (0, 5, None, None)
+    assert np.allclose([a.het_freq_hwe, a.p_value_hwe], [9 / 15, direct_mid_p(1, 1, 1)[0]])
+
+
+def test_whole_quality_agrees_with_the_call_statistics(cohort):
+    short = {(x.contig, x.pos): x.variant_qc.asDict() for x in call_statistics(*cohort[:3]).collect()}
+    whole = {(x.contig, x.pos): x.variant_qc.asDict() for x in variant_quality(*cohort).collect()}
+    assert {k: {f: v[f] for f in short[k]} for k, v in whole.items()} == short
 
 
 def direct_mid_p(hom_ref, het, hom_var):
