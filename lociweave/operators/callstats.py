@@ -96,12 +96,12 @@ def _per_allele(alleles: Column, by_allele: Column, n_ref: Column, field: str, p
 def _counted(joined: DataFrame) -> DataFrame:
     """Explicit totals and ``n_ref`` to per-allele counts and ``_an``."""
     n_ref, by_allele = F.col("n_ref"), F.col("by_allele")
-    return (
-        joined.withColumn("_ac", _per_allele(F.col("alleles"), by_allele, n_ref, "n", 2))
-        .withColumn("_hom", _per_allele(F.col("alleles"), by_allele, n_ref, "n_hom", 1))
-        .withColumn("_an", F.coalesce(F.col("an"), no_rows()) + 2 * n_ref)
-        .withColumn("_called", F.coalesce(F.col("called"), no_rows()) + n_ref)
-    )
+    return joined.withColumns({
+        "_ac": _per_allele(F.col("alleles"), by_allele, n_ref, "n", 2),
+        "_hom": _per_allele(F.col("alleles"), by_allele, n_ref, "n_hom", 1),
+        "_an": F.coalesce(F.col("an"), no_rows()) + 2 * n_ref,
+        "_called": F.coalesce(F.col("called"), no_rows()) + n_ref,
+    })
 
 
 def _call_fields() -> list[Column]:
@@ -141,56 +141,72 @@ def _moments(prefix: str) -> Column:
     )
 
 
+def _with_blocks_added(joined: DataFrame) -> DataFrame:
+    """Explicit moments and those of the covering blocks (prefix ``b_``) as one set."""
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.col(name), no_rows()) + F.coalesce(F.col(f"b_{name}"), no_rows())
+
+    merged = {}
+    for name in MEASURES:
+        merged |= {f"{name}_{part}": total(f"{name}_{part}") for part in ("n", "sum", "sq")}
+        merged[f"{name}_min"] = F.least(f"{name}_min", f"b_{name}_min")
+        merged[f"{name}_max"] = F.greatest(f"{name}_max", f"b_{name}_max")
+    return joined.withColumns({**merged, "n_ref": F.coalesce(F.col("b_n_ref"), no_rows())})
+
+
 def variant_quality(
-    sites: DataFrame, calls: DataFrame, blocks: DataFrame, samples: DataFrame, blocks_disjoint: bool = False
+    sites: DataFrame,
+    calls: DataFrame,
+    blocks: DataFrame,
+    samples: DataFrame,
+    blocks_disjoint: bool = False,
+    exact_test: bool = True,
 ) -> DataFrame:
     """``sites`` plus the whole ``variant_qc``: :func:`call_statistics`, call rate, dp / gq moments, Hardy-Weinberg.
 
     One pass over the calls and one over the blocks. Moments run over all
     entries present: explicit ones (no-calls included, they carry dp and gq)
-    and covering blocks.
+    and covering blocks. Without ``exact_test`` the p-values, the one part
+    that leaves the JVM, are left out.
     """
     pieces = clip_to_bins(blocks) if blocks_disjoint else carve_blocks(blocks, calls)
-    explicit = _explicit_totals(calls, moments=True).withColumn("n_ref", no_rows())
     covered = block_summary_at_sites(sites, pieces)
-    both = explicit.unionByName(covered, allowMissingColumns=True).groupBy(*KEY).agg(
-        F.any_value("by_allele", True).alias("by_allele"),
-        *[F.sum(c).alias(c) for c in ("an", "called", "het", "non_ref", "n_ref")],
-        *_merged_moments(),
-    )
-    joined = sites.join(both, KEY, "left").withColumn("n_ref", F.coalesce(F.col("n_ref"), no_rows()))
-    counted = with_hardy_weinberg(_counted(joined), F.col("_hom"), F.coalesce(F.col("het"), no_rows())).withColumn(
-        "_samples", samples.select(F.count("*")).scalar()
-    )
+    covered = covered.withColumnsRenamed({c: f"b_{c}" for c in covered.columns if c not in KEY})
+    joined = sites.join(_explicit_totals(calls, moments=True), KEY, "left").join(covered, KEY, "left")
+    counted = _counted(_with_blocks_added(joined)).withColumn("_samples", samples.select(F.count("*")).scalar())
+    tested = with_hardy_weinberg(counted, F.col("_hom"), F.coalesce(F.col("het"), no_rows()), exact_test)
     qc = F.struct(
         *_call_fields(),
         (F.col("_samples") - F.col("_called")).alias("n_not_called"),
         F.try_divide(F.col("_called"), F.col("_samples")).alias("call_rate"),
         *[_moments(name).alias(f"{name}_stats") for name in ("dp", "gq")],
-        "het_freq_hwe", "p_value_hwe", "p_value_excess_het",
+        "het_freq_hwe", *(["p_value_hwe", "p_value_excess_het"] if exact_test else []),
     )
-    return counted.select(*sites.columns, qc.alias("variant_qc"))
+    return tested.select(*sites.columns, qc.alias("variant_qc"))
 
 
-def with_hardy_weinberg(df: DataFrame, homozygotes: Column, het: Column) -> DataFrame:
+def with_hardy_weinberg(df: DataFrame, homozygotes: Column, het: Column, exact_test: bool = True) -> DataFrame:
     """Adds genotype counts and Hardy-Weinberg fields.
 
     Two-allele sites only; others get nulls. The reference homozygotes
     include the covering blocks, as element 0 of ``homozygotes`` does.
     """
     two = F.size("alleles") == 2
-    return (
-        df.withColumn("n_hom_ref", F.when(two, F.get(homozygotes, F.lit(0))))
-        .withColumn("n_het", F.when(two, het))
-        .withColumn("n_hom_var", F.when(two, F.get(homozygotes, F.lit(1))))
-        .withColumn("het_freq_hwe", het_freq_hwe(F.col("n_hom_ref"), F.col("n_het"), F.col("n_hom_var")))
-        .withColumn("_p", hwe_p_values("n_hom_ref", "n_het", "n_hom_var"))
-        .withColumn("p_value_hwe", F.col("_p.p_value_hwe"))
-        .withColumn("p_value_excess_het", F.col("_p.p_value_excess_het"))
-        .drop("_p")
-    )
-
-
-def hardy_weinberg(stats: DataFrame) -> DataFrame:
+    counted = df.withColumns({
+        "n_hom_ref": F.when(two, F.get(homozygotes, F.lit(0))),
+        "n_het": F.when(two, het),
+        "n_hom_var": F.when(two, F.get(homozygotes, F.lit(1))),
+    })
+    triple = [F.col(c) for c in ("n_hom_ref", "n_het", "n_hom_var")]
+    if not exact_test:
+        return counted.withColumn("het_freq_hwe", het_freq_hwe(*triple))
+    tested = counted.withColumns({"het_freq_hwe": het_freq_hwe(*triple), "_p": hwe_p_values(*triple)})
+    return tested.select("*", "_p.p_value_hwe", "_p.p_value_excess_het").drop("_p")
+
+
+def hardy_weinberg(stats: DataFrame, exact_test: bool = True) -> DataFrame:
     """The Hardy-Weinberg fields onto the output of :func:`call_statistics`."""
-    return with_hardy_weinberg(stats, F.col("variant_qc.homozygote_count"), F.col("variant_qc.n_het"))
+    return with_hardy_weinberg(
+        stats, F.col("variant_qc.homozygote_count"), F.col("variant_qc.n_het"), exact_test
+    )
