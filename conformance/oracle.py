@@ -244,7 +244,8 @@ order by docs.pos, docs.ref, docs.alt limit 10000""",
     "region_count": "select count(*) as n_variants from fx_sites where contig = '7' and pos between 150000 and 750000",
     "region_counts": """
 with regions as (select gene_id as region_id, chrom, start, stop from fx_genes
-  union all select transcript_id, chrom, start, stop from fx_transcripts)
+  union all select transcript_id, chrom, start, stop from fx_transcripts
+  union all select region_id, chrom, start, stop from fx_regions)
 select r.region_id, count(s.site_id) as n_variants from regions r
 left join fx_sites s on s.contig = r.chrom and s.pos between r.start and r.stop group by r.region_id""",
     "variants_by_gene": f"""
@@ -258,6 +259,15 @@ with {DOCS}, hits as (
     d.variant_id, d.an_total as an
   from docs d join fx_transcripts g on g.chrom = d.chrom and d.pos between g.start and g.stop)
 select * from hits where rank <= 10000""",
+    "variants_by_region": f"""
+with {DOCS}, hits as (
+  select g.region_id, row_number() over (partition by g.region_id order by d.pos, d.ref, d.alt) as rank, d.*
+  from docs d join fx_regions g on g.chrom = d.chrom and d.pos between g.start and g.stop)
+select region_id, rank, {SHAPE} from hits where rank <= 10000""",
+    "lookup_by_id": f"""
+with {KEYS} select variant_id, chrom, pos, ref, alt from keys where variant_id = '2-7920-C-CG'""",
+    "lookup_by_rsid": f"""
+with {KEYS} select variant_id, chrom, pos, ref, alt from keys where rsid = 'rs100006'""",
     "first_variants_by_gene": f"""
 with {KEYS}, hits as (
   select g.gene_id, row_number() over (partition by g.gene_id order by d.pos, d.ref, d.alt) as rank, d.variant_id

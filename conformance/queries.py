@@ -321,7 +321,8 @@ def region_count(g: Given) -> DataFrame:
 def region_counts(g: Given) -> DataFrame:
     regions = g.sql(
         "select gene_id as region_id, chrom, start, stop from fx_genes union all "
-        "select transcript_id, chrom, start, stop from fx_transcripts"
+        "select transcript_id, chrom, start, stop from fx_transcripts union all "
+        "select region_id, chrom, start, stop from fx_regions"
     )
     return lookup.count_variants_by_interval(g.document_keys, regions, "region_id")
 
@@ -337,6 +338,24 @@ def variants_by_transcript(g: Given) -> DataFrame:
     return found.select("transcript_id", "rank", "variant_id", F.col("exome.an").alias("an"))
 
 
+@query
+def variants_by_region(g: Given) -> DataFrame:
+    return _flat_shape(
+        lookup.variants_by_interval(g.documents, g.table("fx_regions"), "region_id"), "region_id", "rank"
+    )
+
+
+@query
+def lookup_by_id(g: Given) -> DataFrame:
+    return lookup.match_shape(g.document_keys.filter(lookup.has_id("2-7920-C-CG")))
+
+
+@query
+def lookup_by_rsid(g: Given) -> DataFrame:
+    """An rsid that two variants share: both come back, the single fetch refuses."""
+    return lookup.match_shape(g.document_keys.filter(lookup.has_id("rs100006")))
+
+
 @query
 def first_variants_by_gene(g: Given) -> DataFrame:
     """The cap in action: five variants per gene by position."""

@@ -122,6 +122,11 @@ select concat('ENST', lpad(cast(c_custkey as string), 11, '0')) as transcript_id
   120001 + (c_custkey % 25) * 10000 as start,
   220001 + (c_custkey % 25) * 10000 + (c_custkey % 400) * 1000 as stop
 from customer""",
+    # Free regions, one per supplier, of 50 kb to 170 kb.
+    "fx_regions": f"""
+select concat('R', cast(s_suppkey as string)) as region_id, {_contig('s_nationkey')} as chrom,
+  1 + (s_suppkey * 7919) % 900000 as start, 50001 + (s_suppkey * 7919) % 900000 + (s_suppkey % 7) * 20000 as stop
+from supplier""",
     # Metadata as an all-text CSV loads; suppliers in debt have no row.
     "fx_meta": f"""
 select {_sample('s_suppkey')} as sample_id,

@@ -71,8 +71,8 @@ def _lookup(pairs: dict) -> Column:
 
 def rename_contig(raw: Column) -> Column:
     """``chr1..chr22, chrX, chrY, chrM`` to bare names; other names pass through."""
-    names = {("chrM" if name == "MT" else f"chr{name}"): name for name in CONTIG_LENGTHS}
-    return F.coalesce(F.try_element_at(_lookup(names), raw), raw)
+    prefixed = [f"chr{name}" for name in COHORT_CONTIGS]
+    return F.when(raw == "chrM", F.lit("MT")).when(raw.isin(prefixed), F.substring(raw, 4, 2)).otherwise(raw)
 
 
 def contig_length(contig: Column) -> Column:

@@ -5,28 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
-def build_session(app: str = "lociweave", master: str | None = None, **conf: str) -> SparkSession:
+PARTITION_BYTES = 128 << 20
+
+
+def build_session(
+    app: str = "lociweave", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """Session with the settings the operators count on.
 
     Skewed joins are split and small partitions merged at run time; join
     sides are broadcast only below the size threshold Spark measures.
+    ``shuffle_bytes`` is the largest shuffle to expect, roughly the calls a
+    run adds: it sets how many partitions a shuffle starts with, so that
+    none outgrows an executor, and what is too many is merged again.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PARTITION_BYTES))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
         builder = builder.master(master)
+    if shuffle_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffle_bytes)))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions of about 128 MB, 200 at least."""
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
+
+
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Bring rows of a key together before a write, with even partitions.
 
