@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Names of the flat fields, in order.
 FLAT_FIELDS = [
     "Consequence", "IMPACT", "SYMBOL", "HGVSg", "HGVSc", "HGVSp", "transcript_id",
     "CADD_PHRED", "CADD_RAW", "ClinVar_CLNSIG", "ClinVar_CLNREVSTAT",

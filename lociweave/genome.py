@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REFERENCE_GENOME = "GRCh37"
-
 # Public GRCh37 contig lengths, in chromosome order.
 CONTIG_LENGTHS = {
     "1": 249250621,

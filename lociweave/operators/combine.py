@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociweave.functions.alleles import is_symbolic, pad, without_non_ref
+from lociweave.functions.alleles import pad, without_non_ref
 from lociweave.genome import on_cohort_contig, rename_contig
 from lociweave.operators.blocks import carve_blocks, position_bin
 
@@ -86,7 +86,8 @@ def unify_alleles(records: DataFrame, previous_sites: DataFrame | None = None) -
     """Per locus the allele list: longest reference, then each distinct alternate over it.
 
     Distinct record shapes are formed before anything is gathered, so a
-    locus brings its allele strings to one row, not its samples.
+    locus brings its allele strings to one row, not its samples. ``touched``
+    marks the loci that ``records`` has a say in.
     """
     shapes = records.select(*LOCUS, "ref", F.explode("alts").alias("alt"), "rsids").groupBy(*LOCUS, "ref", "alt").agg(
         F.array_distinct(F.flatten(F.collect_set("rsids"))).alias("rsids")
@@ -111,7 +112,10 @@ def unify_alleles(records: DataFrame, previous_sites: DataFrame | None = None) -
     listed = gathered.withColumn("_known", F.transform(known, padded)).withColumn(
         "_fresh", F.array_sort(F.array_except(F.transform(fresh, padded), F.col("_known")))
     )
-    return listed.select(*LOCUS, F.concat(F.array("ref"), "_known", "_fresh").alias("alleles"), "rsids")
+    return listed.select(
+        *LOCUS, F.concat(F.array("ref"), "_known", "_fresh").alias("alleles"), "rsids",
+        (F.size(fresh) > 0).alias("touched"),
+    )
 
 
 def local_alleles(ref: Column, alts: Column, alleles: Column) -> Column:
@@ -172,8 +176,8 @@ def new_entries(
     variants = stage(one_record_per_locus(variant_records(kept)), "variants")
     sites = stage(unify_alleles(variants, previous_sites), "sites")
     return Cohort(
-        sites=sites,
-        calls=calls_from_records(variants, sites),
+        sites=sites.drop("touched"),
+        calls=calls_from_records(variants, sites.filter("touched")),
         ref_blocks=carve_blocks(block_records(kept), variants).drop("bin"),
         samples=(records if samples is None else samples).select("sample_id").distinct(),
     )

@@ -13,9 +13,13 @@ from lociweave.functions.variants import RSID, VARIANT_ID, looks_like_rsid
 from lociweave.genome import DATASETS, dataset_catalog
 from lociweave.operators.intervals import count_in_intervals, first_variants_in_intervals
 
+# Result caps, response fields and the two refusals of an id lookup.
 RESULT_LIMIT = 10000
+MATCH_LIMIT = 5
 MATCH_FIELDS = ["variant_id", "chrom", "pos", "ref", "alt"]
 EXOME_TYPE = "struct<ac:bigint,an:bigint,af:double,homozygote_count:bigint,filters:array<string>>"
+NOT_FOUND = "variant not found"
+SEVERAL_FOUND = "multiple variants found, query using variant ID to select one"
 
 
 class VariantLookupError(ValueError):
@@ -105,7 +109,7 @@ def count_variants_in_region(docs: DataFrame, chrom: str, start: int, stop: int)
     return docs.filter(in_region(chrom, start, stop)).agg(F.count("*").alias("n_variants"))
 
 
-def matching_variants(docs: DataFrame, query: str, limit: int = 5) -> DataFrame:
+def matching_variants(docs: DataFrame, query: str, limit: int = MATCH_LIMIT) -> DataFrame:
     """Autocomplete: exact rsid hits first, then ids in order."""
     exact = F.array_contains("rsids", query)
     return match_shape(
@@ -117,9 +121,9 @@ def fetch_variant(docs: DataFrame, variant_id_or_rsid: str) -> Row:
     """The one variant of an id; raises when there is none or more than one."""
     hits = variant_shape(docs.filter(has_id(variant_id_or_rsid))).limit(2).collect()
     if not hits:
-        raise VariantLookupError("variant not found")
+        raise VariantLookupError(NOT_FOUND)
     if len(hits) > 1:
-        raise VariantLookupError("multiple variants found, query using variant ID to select one")
+        raise VariantLookupError(SEVERAL_FOUND)
     return hits[0]
 
 

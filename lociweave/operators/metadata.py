@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociweave.functions.dates import parse_short_date
 from lociweave.operators.annotate import first_per_key
 
+# Columns of the sample metadata.
 REQUIRED_COLUMNS = ["sample_id", "sex", "age", "date_seq", "run_id", "care_site", "health_status"]
 
 

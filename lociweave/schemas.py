@@ -13,7 +13,7 @@ RECORDS = (
     f"ref string, alts array<string>, LGT {LOCAL_CALL}, gq int, dp int"
 )
 
-# Consequence record as the external annotator reports it.
+# The consequence record as the external annotator reports it.
 CONSEQUENCE = (
     "struct<input:string,most_severe_consequence:string,"
     "transcript_consequences:array<struct<consequence_terms:array<string>,impact:string,"
@@ -31,17 +31,13 @@ RUN_EVENTS = (
 )
 RUN_FILES = "run_id string, gvcf string"
 
+# The JSON run manifest.
 MANIFEST = (
     "version int, runs array<struct<run_id:string,vds_path:string,temp_path:string,status:string,"
     "started_at:string,gvcfs:array<string>,completed_at:string,n_samples:long>>"
 )
 
-SAMPLE_METADATA = (
-    "sample_id string, sex string, age string, date_seq string, run_id string, "
-    "care_site string, health_status string"
-)
-
-# The declared mapping of the document table: 27 fields, both export paths.
+# The declared mapping of the document table, 27 fields, both export paths.
 VARIANT_DOCS = (
     "variant_id string, chrom string, pos int, ref string, alt string, "
     "rsids array<string>, filters array<string>, "

@@ -94,10 +94,6 @@ def read_annotated(spark: SparkSession, path: str) -> DataFrame:
     return stored.withColumn("contig", F.col("contig").cast("string"))
 
 
-def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def materialize_once(
     spark: SparkSession, path: str, source: str | None, build: Callable[[], DataFrame], keys: list[str]
 ) -> DataFrame:
