@@ -48,7 +48,7 @@ def _gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         # Parts overlap by two letters and count only n-grams that end in their own range.
         codes = _letters(text[max(0, at - 2):at + _PART]).astype(np.int64)
         own = min(2, at)
-        codes = np.concatenate(([0] * (2 - own), codes, [0] if at + _PART >= len(text) else []))
+        codes = np.concatenate((np.zeros(2 - own, np.int64), codes, np.zeros(int(at + _PART >= len(text)), np.int64)))
         c, b, a = codes[2:], codes[1:-1], codes[:-2]
         edge = 1
         a1, b1, c1 = (np.where(x == 0, edge, x) for x in (a, b, c))

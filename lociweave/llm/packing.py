@@ -2,7 +2,8 @@
 
 Bins of one capacity are told apart only by their gap. An item goes where
 the sum over all gaps of the squared number of open bins becomes smallest, so
-no gap piles up that nothing fits. Items come longest first.
+no gap piles up that nothing fits. Items come longest first, and a new bin is
+opened only where no open one has room.
 
 Items are packed in shards of bounded size in parallel. Bins that a shard
 leaves open come together in further rounds, whole, as items of their own.

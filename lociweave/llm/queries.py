@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import chunks, language, mixing, packing, simhash
+from lociweave.llm import attribution, chunks, embeddings, html, language, mixing, packing, quality, simhash, toxicity
 from lociweave.llm.common import fold, stage
 
 #: Where executors find public tokenizer files; a parameter of the installation.
 TOKENIZERS = os.environ.get("LOCIWEAVE_TOKENIZERS", "")
+#: Fixed value: the split that belongs to the byte-level rank file.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(toxicity.labelled_fold(docs), toxicity.labelled_fold(table(spark, sf_dir, "labels")))
+    told = toxicity.score(docs.select("doc_id", "text"), model)
+    return told.select(
+        "row.doc_id", (fold(F.col("row.doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.LIMIT).cast("int").alias("predicted"), "n_passages",
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
     return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")).select(
@@ -35,12 +48,24 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of the source, language and text of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    told = attribution.attribute_tokens(docs, ["source", "lang", "text"], vocabulary("byte_bpe_50k.tiktoken"), PATTERN, "start")
+    return told.select("row.doc_id", "field", "section", "start", "n_chars", "n_tokens", "n_crossing")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages: where each stands, and whether it is the occurrence that stays."""
     found = chunks.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "start", "n_chars", "copies", "kept")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -49,6 +74,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("row.doc_id", (fold(F.col("row.doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and verdict of every document."""
+    told = quality.judge(table(spark, sf_dir, "documents"))
+    return told.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
@@ -71,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_best_fit_packing, op4_substring_dedup, op6_language_id, op9_simhash_near_dedup, op10_mixing, pipeline,
+        op1_toxicity, op2_best_fit_packing, op3_token_counts, op4_substring_dedup, op5_embedding_near_dedup, op6_language_id,
+        op7_html_extraction, op8_quality_rules, op9_simhash_near_dedup, op10_mixing, pipeline,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
