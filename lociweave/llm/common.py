@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lociweave.session import staged
 
+#: Rows that a Python worker gets at once.
+BATCH_ROWS = 1000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -37,8 +39,16 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts)).cast("int")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python workers get a thousand rows at a time, so that whole texts of long documents fit their memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def sheltered(docs: DataFrame) -> DataFrame:
     """All columns inside one struct ``row``, so that no name clashes with a working column."""
+    small_batches(docs.sparkSession)
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
 
 

@@ -23,11 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociweave.llm.common import stage
+from lociweave.llm.common import small_batches, stage
 
 CAPACITY = 2048
 SHARD_ITEMS = 32768
-_CACHE = 1_000_000
+_CACHE = 300_000
 _TEXTS = 512
 _PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
 
@@ -107,6 +107,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY)
             frame["doc_id"] = pd.array(frame["doc_id"], "Int64")
             yield frame
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInPandas(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

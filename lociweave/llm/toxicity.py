@@ -39,7 +39,7 @@ CUT = 0.004
 #: What makes a unit a sign: its log-odds, and the evidence that it is not chance.
 LEAST_ODDS = 1.0
 LEAST_GAIN = 8.0
-_KNOWN = 500_000
+_KNOWN = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
