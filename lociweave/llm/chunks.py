@@ -116,13 +116,16 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = stage(chunks.join(again, "d1", "left_semi"), "chunks")
     # The smallest (document, text, place) in three plain minima, which hash aggregation can combine early.
     group = ["d1", "d2"]
+    # Joins end in a written table, so that a digest with very many places can be split among tasks.
     low = stage(found.groupBy(*group).agg(F.min("doc_id").alias("low_id")), "low")
-    mine = found.join(low, group).filter("doc_id = low_id").groupBy(*group, "doc_id").agg(F.min("key").alias("low_key"))
-    mine = stage(mine.withColumnRenamed("doc_id", "low_id"), "low_key")
-    first = found.join(mine, group).filter("doc_id = low_id and key = low_key")
-    first = first.groupBy(*group, "low_id", "low_key").agg(F.min("idx").alias("low_idx"))
-    first = stage(first, "first")
+    mine = stage(found.join(low, group).filter("doc_id = low_id").select(*group, "doc_id", "key", "idx"), "mine")
+    low_key = stage(mine.groupBy(*group).agg(F.min("key").alias("low_key")), "low_key")
+    mine = stage(mine.join(low_key, group).filter("key = low_key"), "mine")
+    first = stage(mine.groupBy(*group).agg(
+        F.min("doc_id").alias("low_id"), F.min("low_key").alias("low_key"), F.min("idx").alias("low_idx")
+    ), "first")
     place = found.join(first, group).withColumn("is_first", F.expr("doc_id = low_id and key = low_key and idx = low_idx"))
+    place = stage(place.drop("low_id", "low_key", "low_idx"), "places")
     # Each chunk that has a place besides its first one.
     more = stage(place.filter("not is_first").groupBy(*group).agg(F.count("*").alias("others")), "more")
     return place.join(more, group).select("doc_id", "key", "idx", "start", "size", "is_first", F.col("others").alias("copies"))
