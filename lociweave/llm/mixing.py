@@ -14,6 +14,8 @@ DataFrame functions are used.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,7 +29,6 @@ WEIGHTS = (1, 2, 3)
 #: No source is taken more often than this.
 MOST_PASSES = 3
 SEED = 10
-_BUCKET_ROWS = 65536
 _CELLS = 1024
 _ROUNDS = 16
 
@@ -158,11 +159,12 @@ def block_uses(planned: DataFrame, block_words: int, shard_slots: int, seed: int
 def placed_documents(sized: DataFrame) -> DataFrame:
     """Adds ``first``, the number of words of the source before each row, to rows ``rank, doc_id, key, size``.
 
-    Rows stand in order of a hash bucket, id, key and size; sums are taken in buckets
-    first, so that no task holds a source.
+    Rows stand in order of a hash bucket, id, key and size. Sums are taken in buckets
+    first, two for each root of the number of rows, so that neither a
+    bucket nor the row of buckets of a source grows with a source.
     """
     n = sized.count()
-    buckets = max(1, -(-n // _BUCKET_ROWS)) * 8
+    buckets = max(1, 2 * isqrt(n))
     dealt = sized.withColumn("bucket", F.pmod(F.xxhash64(F.lit("bucket"), "doc_id", "key"), F.lit(buckets)))
     sums = dealt.groupBy("rank", "bucket").agg(F.sum("size").alias("bucket_size"))
     over = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
