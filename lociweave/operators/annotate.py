@@ -57,7 +57,9 @@ def join_frequency(variants: DataFrame, frequency: DataFrame, unique: bool = Fal
     """Left join on locus and the whole allele list; adds ``gnomad_af``, ``gnomad_nonfin``.
 
     The allele list is a residual condition beside the shared key: a site
-    with more alleles than the frequency row misses.
+    with more alleles than the frequency row misses. It is written as two
+    bounds, since an equality would become a fifth key and exchange the
+    variants again.
     """
     right = with_variant_key(unique_rows(frequency, ["contig", "pos", "alleles"], unique))
     right = right.select(
@@ -66,7 +68,8 @@ def join_frequency(variants: DataFrame, frequency: DataFrame, unique: bool = Fal
     ).alias("r")
     left = variants.alias("l")
     same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in VARIANT_KEY]
-    joined = left.join(right, same + [F.col("l.alleles") == F.col("r._alleles")], "left")
+    alike = [F.col("l.alleles") >= F.col("r._alleles"), F.col("l.alleles") <= F.col("r._alleles")]
+    joined = left.join(right, same + alike, "left")
     return joined.select("l.*", "r.gnomad_af", "r.gnomad_nonfin")
 
 

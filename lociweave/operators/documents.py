@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.functions.alleles import first_alt
@@ -77,8 +77,8 @@ def as_declared(docs: DataFrame) -> DataFrame:
 
 def last_write_per_id(docs: DataFrame, version: str) -> DataFrame:
     """One document per id: the one with the highest ``version``."""
-    latest = Window.partitionBy("variant_id").orderBy(F.desc(version))
-    return docs.withColumn("_nth", F.row_number().over(latest)).filter("_nth = 1").drop("_nth")
+    latest = docs.groupBy("variant_id").agg(F.max_by(F.struct(*docs.columns), F.col(version)).alias("_latest"))
+    return latest.select("_latest.*")
 
 
 def upsert_documents(current: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -86,8 +86,10 @@ def upsert_documents(current: DataFrame, incoming: DataFrame) -> DataFrame:
 
     Only ids are compared. The current table is not reshuffled when the
     incoming side measures small enough to broadcast, which an increment
-    mostly does. ``incoming`` holds one document per id.
+    mostly does. Of several incoming documents of one id one is written;
+    ``last_write_per_id`` chooses which, where they carry a version.
     """
+    incoming = incoming.dropDuplicates(["variant_id"])
     kept = current.join(incoming.select("variant_id"), "variant_id", "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 

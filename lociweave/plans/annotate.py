@@ -35,21 +35,25 @@ def annotate(
     metadata: DataFrame | None = None,
     overwrite: bool = False,
     quality: bool = True,
+    unique: bool = False,
+    exact_test: bool = True,
 ) -> DataFrame:
     """Statistics, four annotation joins and sample metadata; returns the dimensions row.
 
     ``quality`` stores the whole ``variant_qc``; without it only the fields
     the documents read are computed, which skips the dp / gq summaries.
+    ``unique`` says that the four tables hold one row per key, which spares
+    sorting them; ``exact_test`` false leaves out the exact test, the only step in Python.
 
     Blocks of a stored cohort are disjoint from its calls, so the statistics
     need no sample-level join. Counts are taken from the written tables.
     """
     if quality:
-        stats = variant_quality(cohort.sites, cohort.calls, cohort.ref_blocks, cohort.samples, blocks_disjoint=True)
+        stats = variant_quality(cohort.sites, cohort.calls, cohort.ref_blocks, cohort.samples, blocks_disjoint=True, exact_test=exact_test)
     else:
         stats = call_statistics(cohort.sites, cohort.calls, cohort.ref_blocks, blocks_disjoint=True)
     tables.write_annotated(
-        annotate_variants(stats, consequences, clinical, scores, frequency), f"{out}/variants", overwrite
+        annotate_variants(stats, consequences, clinical, scores, frequency, unique), f"{out}/variants", overwrite
     )
     samples = join_metadata(cohort.samples, metadata)
     (replacing(samples) if overwrite else samples.write.mode("errorifexists")).parquet(f"{out}/samples")

@@ -10,6 +10,8 @@ from lociweave.genome import valid_locus
 
 GVCF_SUFFIX = ".gvcf.gz"
 GVCF_GLOB = f"*{GVCF_SUFFIX}"
+#: Copied and archived files keep old times: a stream leaves none out for its age.
+ANY_AGE = "36500d"
 
 
 def gvcf_lines(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
@@ -18,6 +20,8 @@ def gvcf_lines(spark: SparkSession, path: str, stream: bool = False, max_files:
     A gzip file is one task, so parallelism is the number of files.
     """
     reader = (spark.readStream if stream else spark.read).option("pathGlobFilter", GVCF_GLOB)
+    if stream:
+        reader = reader.option("maxFileAge", ANY_AGE)
     if stream and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(path).select("value", F.col("_metadata.file_name").alias("gvcf"))

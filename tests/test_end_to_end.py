@@ -2,6 +2,8 @@
 
 import gzip
 import json
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -72,6 +74,8 @@ def test_stream_reads_each_file_once(spark, gvcfs, folder, rows):
     ingest_new_files(spark, gvcfs, out, checkpoint)
     assert spark.read.parquet(f"{out}/records").count() == before == 8 + 2
     add_second_batch(gvcfs)
+    long_ago = time.time() - 30 * 86400
+    os.utime(f"{gvcfs}/s3.gvcf.gz", (long_ago, long_ago))
     ingest_new_files(spark, gvcfs, out, checkpoint, max_files_per_batch=2)
     status = file_status(spark, out)
     assert rows(status, "gvcf", "status", "n_records", "error") == [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conformance.queries import QUERIES
 from lociweave.operators import lookup as L
-from lociweave.operators.annotate import join_clinical, join_scores, with_variant_key
+from lociweave.operators.annotate import join_frequency, join_clinical, join_scores, with_variant_key
 from lociweave.operators.callstats import allele_tallies, call_statistics
 from lociweave.operators.documents import as_declared
 from lociweave.schemas import CALLS, REF_BLOCKS, SITES
@@ -83,6 +83,10 @@ def test_annotation_chain_exchanges_variants_once(spark):
             spark.createDataFrame([("1", 1, "A", "C", 1.0, 1.0)], f"{keys}, cadd_phred double, cadd_raw double"))
         # one exchange for the variants, one per right side (shared by its aggregation and the join)
         assert plan(joined).count("Exchange hashpartitioning") == 3
+        frequency = spark.createDataFrame([("1", 1, ["A", "C"], 0.1, 0.1)], "contig string, pos int, alleles array<string>, af double, af_nfe double")
+        # the allele list is no fifth key, so the frequency table is the only new exchange
+        text = plan(join_frequency(joined, frequency, unique=True))
+        assert text.count("Exchange hashpartitioning") == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
