@@ -3,7 +3,9 @@
 Equal vectors of a label are one class. Each pass orders the classes by label
 and a bit string of random hyperplane signs, whose planes are other ones each
 time, and compares every vector with the ``window`` before it. Pairs at or
-above the threshold by exact cosine are united over all passes. Within the
+above the threshold by exact cosine are united over all passes, whose number
+follows the classes of the largest label, so that a pair at the threshold
+itself is found with probability ``RECALL`` by estimate. Within the
 components so found all links are counted, in blocks, so that groups wider
 than the window lose none.
 """
@@ -11,6 +13,7 @@ than the window lose none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import acos, ceil, log, log1p, log2, pi
 
 import numpy as np
 import pandas as pd
@@ -21,6 +24,9 @@ from pyspark.sql import types as T
 from lociweave.llm.common import connected_components, sheltered, stage
 
 THRESHOLD = 0.93
+#: Share of the isolated pairs at the threshold itself that the passes are meant to find; closer ones are found more often.
+RECALL = 0.999
+#: Passes at least, however few the rows.
 PASSES = 12
 WINDOW = 32
 BITS = 48
@@ -37,6 +43,18 @@ def _unit(vectors) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def passes_for(rows: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
+    """Passes that find an isolated pair at the threshold among ``rows`` of its label with probability ``recall``.
+
+    A random sign tells the two apart with probability angle / pi. In one pass
+    they meet if they share the leading bits that thin the rows out to one
+    window. The rows count as evenly spread over the signs.
+    """
+    alike = 1 - acos(max(-1.0, min(1.0, threshold))) / pi
+    met = alike ** max(0.0, log2(max(1, rows) / window))
+    return PASSES if met >= 1 else max(PASSES, ceil(log(1 - recall) / log1p(-met)))
+
+
 def _sort_keys(passes: list[int], seed: int):
     @F.pandas_udf("array<long>")
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -97,9 +115,11 @@ def _pairs_in(rows: pd.DataFrame, new: int, threshold: float, window: int) -> It
             yield pd.DataFrame({"side": 2, "part": 0, "a": np.concatenate(left), "b": np.concatenate(right), "group": 0, "embedding": [[]] * n})
 
 
-def _links(classes: DataFrame, threshold: float, passes: int, window: int, seed: int) -> DataFrame:
+def _links(classes: DataFrame, threshold: float, passes: int | None, window: int, seed: int) -> DataFrame:
     """Linked pairs ``a, b`` of classes over all passes, as written tables."""
-    n = classes.count()
+    sizes = classes.groupBy("label", F.size("embedding")).agg(F.count("*").alias("n"))
+    n, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    passes = passes_for(largest, threshold, window) if passes is None else passes
     found = None
     for first in range(0, passes, _AT_ONCE):
         own = list(range(first, min(passes, first + _AT_ONCE)))
@@ -158,7 +178,7 @@ def _link_counts(classes: DataFrame, groups: DataFrame, threshold: float) -> Dat
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = 5
+    vectors: DataFrame, threshold: float = THRESHOLD, passes: int | None = None, window: int = WINDOW, seed: int = 5
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
@@ -166,6 +186,7 @@ def near_duplicates(
     non-null labels and equal length link. A vector that is null, empty, zero or
     holds a null or non-finite component links with nothing, and is a component of its
     own. Rows that repeat an id each count as a vector. An empty table gives no row.
+    ``passes`` follow the largest label (``passes_for``) where none are given.
     """
     rows = sheltered(vectors).select(
         F.col("row.vec_id").alias("vec_id"), F.col("row.label").alias("label"), F.col("row.embedding").cast("array<float>").alias("embedding")

@@ -332,6 +332,26 @@ def test_vectors_link_as_all_pairs_do(spark):
     assert embeddings.near_duplicates(df.filter("vec_id < 0")).count() == 0
 
 
+def test_lone_pairs_at_the_threshold_are_found(spark):
+    rng = np.random.default_rng(15)
+    a = rng.standard_normal((2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((2000, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9301 * a + np.sqrt(1 - 0.9301 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([a, b]).astype("float32"))], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df, window=2).collect()}
+    lost = sum((got[i].n_links, got[i + 2000].component_id, got[i + 2000].kept) != (1, i, False) for i in range(2000))
+    assert lost <= 2000 * (1 - embeddings.RECALL)
+
+
+def test_passes_follow_the_rows():
+    alike = 1 - np.arccos(0.93) / np.pi
+    for rows in (100, 5_700, 100_000, 10_000_000):
+        n = embeddings.passes_for(rows)
+        assert n >= embeddings.PASSES and (1 - alike ** np.log2(rows / embeddings.WINDOW)) ** n <= 1 - embeddings.RECALL
+
+
 # Toxicity
 
 def test_maximal_segments_equal_the_definition():
