@@ -133,9 +133,10 @@ def linked(prints: DataFrame, max_distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
-    """One row per document: ``doc_id, text_key, fp, component_id``.
+    """One row per document: ``doc_id, text_key, fp, component, component_id``.
 
-    ``component_id`` is the smallest document id reachable by links. Null and
+    ``component`` is the smallest fingerprint reachable by links, and tells
+    groups apart; ``component_id`` is the smallest document id of those. Null and
     empty texts have fingerprint zero and link like any other. Rows that repeat
     an id each have their row. A null id is left out of the minimum: a
     component of null ids only has a null id. An empty table gives no row.
@@ -152,20 +153,19 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int =
         prints.fp, "first_id", F.coalesce("component", "fp").alias("component")
     )
     first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = stage(named.join(first, "component").select("fp", "component_id"), "classes")
-    return rows.join(ids, "fp").select("doc_id", "text_key", "fp", "component_id")
+    ids = stage(named.join(first, "component").select("fp", "component", "component_id"), "classes")
+    return rows.join(ids, "fp").select("doc_id", "text_key", "fp", "component", "component_id")
 
 
 def keep_one_each(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
-    """The documents with one of each group left: smallest id first, then smallest text key.
+    """The documents with one of each group left: smallest id first, null ids last, then smallest text key.
 
     Of rows that repeat both id and text one stays. Columns are those of ``docs``.
     """
     found = near_duplicates(docs, shingle_words, max_distance)
-    # An id may repeat within a group: the smallest (id, text) of the group stays.
-    best = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    best = best.groupBy("doc_id", "component_id").agg(F.min("text_key").alias("text_key")).select("doc_id", "text_key")
-    keep = stage(best, "kept").alias("keep")
+    # An id may be null, or repeat within a group or in several: the smallest (id, text) of each group stays.
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best"))
+    keep = stage(best.select("best.doc_id", "best.text_key"), "kept").alias("keep")
     rows = sheltered(docs).withColumns({"id": F.col("row.doc_id"), "key": text_key(F.col("row.text"))})
     kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep.doc_id")) & (F.col("key") == F.col("keep.text_key")), "left_semi")
     return kept.dropDuplicates(["id", "key"]).select("row.*")

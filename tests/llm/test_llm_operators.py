@@ -106,6 +106,16 @@ def test_one_of_each_group_stays(odd, none):
     assert ids[1] == 1 and 2 not in ids and 3 not in ids and ids[None] == 1 and all(n == 1 for n in ids.values() if n != ids[4])
 
 
+def test_null_and_repeated_ids_lose_no_unlike_text(spark):
+    say = lambda k: " ".join(f"w{k}x{i * i % 89}" for i in range(60))
+    given = [(None, say(1)), (None, say(2)), (None, say(2)), (None, say(3)), (7, say(4)), (7, say(5)), (7, say(5)), (9, say(5)), (None, say(6)), (3, say(6))]
+    fps = {t: plain_fingerprint(t) for _, t in given}
+    assert min((a ^ b).bit_count() for a, b in combinations(fps.values(), 2)) > 2
+    kept = simhash.keep_one_each(spark.createDataFrame(given, "doc_id long, text string"))
+    want = [(None, say(1)), (None, say(2)), (None, say(3)), (7, say(4)), (7, say(5)), (3, say(6))]
+    assert Counter(map(tuple, kept.collect())) == Counter(want)
+
+
 # Chunks
 
 def test_gear_hash_and_cuts_follow_the_rolling_rule():
