@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import attribution, chunks, embeddings, html, language, mixing, packing, quality, simhash, toxicity
+from lociweave.llm import (
+    attribution, chunks, conversations, embeddings, html, language, licenses, mixing, packing, quality, ranking, simhash, toxicity,
+)
 from lociweave.llm.common import fold, stage
 
 #: Where executors find public tokenizer files; a parameter of the installation.
@@ -100,6 +102,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")), "dropped")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+        F.size("notices").cast("long").alias("n_notices"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return ranking.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents through all stages."""
     import corpus_pipeline
@@ -111,7 +133,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_best_fit_packing, op3_token_counts, op4_substring_dedup, op5_embedding_near_dedup, op6_language_id,
-        op7_html_extraction, op8_quality_rules, op9_simhash_near_dedup, op10_mixing, pipeline,
+        op7_html_extraction, op8_quality_rules, op9_simhash_near_dedup, op10_mixing,
+        op11_conversation_repair, op12_license_scan, op13_ranked_search, pipeline,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+#: Terms, scores and ranks by their definition, all documents against all terms of all items.
+RANKED_SEARCH_SQL = r"""
+with words as (
+  select row_number() over () as d, doc_id,
+    regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+    ) as terms
+  from documents where text is not null
+),
+sizes as (select d, doc_id, cast(len(terms) as bigint) as n, terms from words where len(terms) > 0),
+totals as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from sizes),
+asked as (
+  select i, item_id, term, cast(count(*) as bigint) as times from (
+    select row_number() over () as i, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+    )) as term from benchmark
+  ) group by i, item_id, term
+),
+held as (select d, doc_id, n, term, cast(count(*) as bigint) as tf from (select d, doc_id, n, unnest(terms) as term from sizes) group by d, doc_id, n, term),
+weighted as (
+  select term, cast(floor(1000 * ln((2.0 * n_docs + 2) / (2.0 * count(*) + 1))) as bigint) as w
+  from held, totals where term in (select term from asked) group by term, n_docs
+),
+scored as (
+  select i, item_id, d, doc_id,
+    cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) as bigint) as score
+  from asked join weighted using (term) join held using (term), totals group by i, item_id, d, doc_id
+)
+select item_id, cast(row_number() over (partition by i order by score desc, doc_id asc nulls last, d) as int) as rank, doc_id, score
+from scored where score > 0
+qualify row_number() over (partition by i order by score desc, doc_id asc nulls last, d) <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op13_ranked_search": RANKED_SEARCH_SQL}
