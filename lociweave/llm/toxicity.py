@@ -113,22 +113,24 @@ def _log_odds(units: list[tuple[str, bool, int, int]], ratio: float) -> tuple[di
 
     Prefixes come first, shorter before longer, then words, so that each finds its prior.
     """
-    share: dict[str, float] = {}
+    # The share of toxic and that of clean documents, each for itself: one of them may be tiny beside the other.
+    shares: dict[str, tuple[float, float]] = {}
     words, stems = {}, {}
 
-    def prior(unit: str, longest: int) -> float:
+    def prior(unit: str, longest: int) -> tuple[float, float]:
         for n in range(min(longest, PREFIXES[-1]), PREFIXES[0] - 1, -1):
-            if (p := share.get(unit[:n])) is not None:
-                return p
-        return 0.5
+            if (own := shares.get(unit[:n])) is not None:
+                return own
+        return 0.5, 0.5
 
     for unit, is_word, toxic, clean in sorted(units, key=lambda u: (u[1], len(u[0]), u[0])):
-        p = (toxic + PRIOR * prior(unit, len(unit) if is_word else len(unit) - 1)) / (toxic + clean * ratio + PRIOR)
-        odds = math.log(p / (1 - p))
+        bad, good = prior(unit, len(unit) if is_word else len(unit) - 1)
+        bad, good = toxic + PRIOR * bad, clean * ratio + PRIOR * good
+        odds = math.log(bad) - math.log(good)
         if is_word:
             words[unit] = odds if odds >= LEAST_ODDS else 0.0
         elif odds >= LEAST_ODDS:
-            share[unit], stems[unit] = p, odds
+            shares[unit], stems[unit] = (bad / (bad + good), good / (bad + good)), odds
     return words, stems
 
 
@@ -256,19 +258,31 @@ def learn(docs: DataFrame, labels: DataFrame, learn_rows: int = LEARN_ROWS) -> M
                 if not first:
                     own = score(tokens(text))
                     kinds = Counter(np.round(own[own > 0], 1).tolist())
-                    out.append((toxic, len(own), [s for _, _, s in maximal_segments(own)], list(kinds), list(kinds.values())))
-            yield pd.DataFrame(out, columns=["toxic", "n", "segments", "kinds", "counts"])
-
-    held = "toxic int, n long, segments array<double>, kinds array<double>, counts array<long>"
-    seen = rows.mapInPandas(measured, held).collect()
-    clean = [r for r in seen if not r.toxic]
-    kinds: Counter = Counter()
-    for r in clean:
-        kinds.update(dict(zip(r.kinds, r.counts)))
-    scale = _solved_scale(kinds, sum(r.n for r in clean))
-    mass = sum(r.n * math.exp(-scale * max(r.segments, default=0.0)) for r in clean)
-    level = len(clean) / mass if mass else 1.0
-    tails = [(_tail(r.segments, r.n, scale, level), r.toxic) for r in seen]
+                    best = max((s for _, _, s in maximal_segments(own)), default=0.0)
+                    out.append((toxic, len(own), best, list(kinds), list(kinds.values())))
+            yield pd.DataFrame(out, columns=["toxic", "n", "best", "kinds", "counts"])
+
+    held = "toxic int, n long, best double, kinds array<double>, counts array<long>"
+    clean = stage(rows.mapInPandas(measured, held).filter("toxic = 0"), "clean")
+    # One row for each tenth of a nat, and one number for each of the ``learn_rows`` clean texts at most.
+    each = clean.select(F.explode(F.arrays_zip("kinds", "counts")).alias("k")).groupBy("k.kinds").agg(F.sum("k.counts").alias("n"))
+    kinds = Counter({r.kinds: r.n for r in each.collect()})
+    seen = clean.select("n", "best").collect()
+    scale = _solved_scale(kinds, sum(r.n for r in seen))
+    mass = sum(r.n * math.exp(-scale * r.best) for r in seen)
+    level = len(seen) / mass if mass else 1.0
+
+    def tailed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score = _Scorer(words, stems)
+        for batch in batches:
+            out = []
+            for text, toxic, first in zip(batch["text"], batch["toxic"], batch["first"]):
+                if not first:
+                    own = score(tokens(text))
+                    out.append((_tail([s for _, _, s in maximal_segments(own)], len(own), scale, level), toxic))
+            yield pd.DataFrame(out, columns=["tail", "toxic"])
+
+    tails = [tuple(r) for r in rows.mapInPandas(tailed, "tail double, toxic int").collect()]
     return Model(words, stems, scale, level, _best_cut(tails))
 
 
