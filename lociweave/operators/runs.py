@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COMPLETED, IN_PROGRESS, FAILED = "completed", "in_progress", "failed"
+#: A run that has its id but not yet its list of files.
+CLAIMED = "claimed"
 
 
 def run_states(events: DataFrame) -> DataFrame:
@@ -31,9 +33,22 @@ def ingested_files(runs: DataFrame, run_files: DataFrame) -> DataFrame:
     return run_files.join(done, "run_id", "left_semi").select("gvcf").distinct()
 
 
-def new_files(listed: DataFrame, runs: DataFrame, run_files: DataFrame) -> DataFrame:
-    """Listed files that no completed run holds."""
-    return listed.select("gvcf").distinct().join(ingested_files(runs, run_files), "gvcf", "left_anti")
+def new_files(listed: DataFrame, runs: DataFrame, run_files: DataFrame, taken_by: tuple[str, ...] = ()) -> DataFrame:
+    """Listed files that no completed run holds, nor one of a status in ``taken_by``."""
+    held = ingested_files(runs, run_files)
+    if taken_by:
+        others = runs.filter(F.col("status").isin(*taken_by)).select("run_id")
+        held = held.unionByName(run_files.join(others, "run_id", "left_semi").select("gvcf"))
+    return listed.select("gvcf").distinct().join(held, "gvcf", "left_anti")
+
+
+def files_begun_before(events: DataFrame, run_files: DataFrame, run_id: str) -> DataFrame:
+    """Files of a run that another run, completed or still in progress, began to ingest before it."""
+    begun = events.filter(F.col("status") == IN_PROGRESS).groupBy("run_id").agg(F.min("seq").alias("begun"))
+    live = run_states(events).filter(F.col("status").isin(COMPLETED, IN_PROGRESS)).select("run_id")
+    held = run_files.join(begun, "run_id").join(live, "run_id", "left_semi")
+    mine = held.filter(F.col("run_id") == run_id).select("gvcf", F.col("begun").alias("mine"))
+    return held.filter(F.col("run_id") != run_id).join(mine, "gvcf").filter(F.col("begun") < F.col("mine")).select("gvcf").distinct()
 
 
 def latest_run(runs: DataFrame, status: str) -> DataFrame:
@@ -46,7 +61,7 @@ def next_run_id(runs: DataFrame, date: str) -> DataFrame:
     prefix = f"{date}_run"
     suffix = F.substring("run_id", len(prefix) + 1, 64)
     number = F.when(
-        F.col("run_id").startswith(prefix) & suffix.rlike("^[0-9]+$"), suffix.try_cast("int")
+        F.col("run_id").startswith(prefix) & suffix.rlike("^[0-9]+$"), suffix.try_cast("bigint")
     )
     return runs.agg(F.coalesce(F.max(number), F.lit(0)).alias("n")).select(
         F.concat(F.lit(prefix), F.format_string("%03d", F.col("n") + 1)).alias("run_id")
@@ -56,7 +71,7 @@ def next_run_id(runs: DataFrame, date: str) -> DataFrame:
 def next_run_ids(runs: DataFrame) -> DataFrame:
     """The same for every date in the log: ``run_date, run_id``."""
     date = F.regexp_extract("run_id", "^(.+)_run", 1)
-    number = F.regexp_extract("run_id", "_run([0-9]+)$", 1).try_cast("int")
+    number = F.regexp_extract("run_id", "_run([0-9]+)$", 1).try_cast("bigint")
     return (
         runs.groupBy(date.alias("run_date")).agg(F.coalesce(F.max(number), F.lit(0)).alias("n"))
         .filter(F.col("run_date") != "")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
@@ -67,13 +71,60 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _target(spark: SparkSession, path: str) -> tuple:
+    """A path and the filesystem its scheme names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever filesystem its scheme names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    target, system = _target(spark, path)
+    return system.exists(target)
 
 
 def table_complete(spark: SparkSession, path: str) -> bool:
     """Whether a table write at ``path`` ran to its end."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def create_once(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Writes a small file unless there is one; False where another writer was first.
+
+    Rests on the filesystem's own exclusive create. Its local form only looks
+    before it writes, so local files are linked into place instead.
+    """
+    target, system = _target(spark, path)
+    if system.getUri().getScheme() == "file":
+        local = target.toUri().getPath()
+        folder, name = os.path.split(local)
+        os.makedirs(folder, exist_ok=True)
+        draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        with open(draft, "w") as file:
+            file.write(text)
+        try:
+            os.link(draft, local)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def next_claim(spark: SparkSession, folder: str) -> int:
+    """A number that nobody else was given, one above the highest so far; the first is 0."""
+    target, system = _target(spark, folder)
+    names = [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+    number = max((int(n) for n in names if n.isdigit()), default=-1) + 1
+    while not create_once(spark, f"{folder.rstrip('/')}/{number:012d}"):
+        number += 1
+    return number

@@ -8,7 +8,9 @@ entries only and earlier versions stay as they are.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from lociweave import schemas
 from lociweave.operators.annotate import first_per_key
 from lociweave.operators.combine import Cohort
-from lociweave.session import balanced, path_exists, replacing, table_complete
+from lociweave.session import balanced, create_once, path_exists, replacing, table_complete
 
 CLUSTER_BITS = 20
 
@@ -134,24 +136,47 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return runs, listed.select("r.run_id", F.explode("r.gvcfs").alias("gvcf"))
 
 
+class RunLogConflict(RuntimeError):
+    """Another writer was first."""
+
+
 def append_run_event(
     spark: SparkSession, log: str, run_id: str, seq: int, status: str,
     cohort_path: str | None = None, temp_path: str | None = None, n_samples: int | None = None,
 ) -> None:
-    """One event row appended to the run log; a reader sees it whole or not at all."""
-    row = spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.lit(seq).cast("long").alias("seq"), F.lit(status).alias("status"),
-        F.lit(cohort_path).cast("string").alias("cohort_path"), F.lit(temp_path).cast("string").alias("temp_path"),
-        F.current_timestamp().alias("event_at"), F.lit(n_samples).cast("long").alias("n_samples"),
-    )
-    row.write.mode("append").parquet(f"{log}/events")
+    """One event under its number; refused where that number is taken."""
+    event = {
+        "run_id": run_id, "seq": seq, "status": status, "cohort_path": cohort_path, "temp_path": temp_path,
+        "event_at": datetime.now(timezone.utc).isoformat(), "n_samples": n_samples,
+    }
+    if not create_once(spark, f"{log}/events/{seq:012d}.json", json.dumps(event) + "\n"):
+        raise RunLogConflict(f"event {seq} of {log} is taken")
 
 
-def read_run_log(spark: SparkSession, log: str) -> tuple[DataFrame, DataFrame]:
-    """``(run_events, run_files)`` of a log folder, empty when it does not exist."""
+def publish_run_event(spark: SparkSession, log: str, decide: Callable[[DataFrame, DataFrame], dict], attempts: int = 1000) -> dict:
+    """The next event, decided from the log as it stands just before.
+
+    ``decide`` gets ``(run_events, run_files)`` and returns the event's fields.
+    Where another event came in between, it decides again on the longer log.
+    """
+    for _ in range(attempts):
+        events, files = read_run_log(spark, log)
+        seq = events.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("n")).first().n + 1
+        fields = decide(events, files)
+        try:
+            append_run_event(spark, log, seq=seq, **fields)
+        except RunLogConflict:
+            continue
+        return fields
+    raise RunLogConflict(f"{log}: {attempts} attempts")
 
-    def table(name: str, ddl: str) -> DataFrame:
-        path = f"{log}/{name}"
-        return spark.read.schema(ddl).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], ddl)
 
-    return table("events", schemas.RUN_EVENTS), table("files", schemas.RUN_FILES)
+def read_run_log(spark: SparkSession, log: str) -> tuple[DataFrame, DataFrame]:
+    """``(run_events, run_files)`` of a log folder, empty when it does not exist."""
+    events, files = f"{log}/events", f"{log}/files"
+    return (
+        spark.read.schema(schemas.RUN_EVENTS).json(events) if path_exists(spark, events)
+        else spark.createDataFrame([], schemas.RUN_EVENTS),
+        spark.read.schema(schemas.RUN_FILES).parquet(files) if path_exists(spark, files)
+        else spark.createDataFrame([], schemas.RUN_FILES),
+    )

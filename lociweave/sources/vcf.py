@@ -7,24 +7,21 @@ from pyspark.sql import functions as F
 
 from lociweave.functions.genotypes import parse_call
 from lociweave.genome import valid_locus
+from lociweave.sources.gzip_lines import RANGE_BYTES, File, gzip_lines, listed_files
 
 GVCF_SUFFIX = ".gvcf.gz"
 GVCF_GLOB = f"*{GVCF_SUFFIX}"
-#: Copied and archived files keep old times: a stream leaves none out for its age.
-ANY_AGE = "36500d"
 
 
-def gvcf_lines(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
-    """All lines of the ``*.gvcf.gz`` files of a folder: ``value, gvcf``.
+def gvcf_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines of the ``*.gvcf.gz`` files of a folder: ``value, gvcf``."""
+    files = [File(r.path, r.length) for r in listed_files(spark, path, GVCF_GLOB).select("path", "length").collect()]
+    return named_lines(gzip_lines(spark, files)).filter(F.col("value").isNotNull()).select("value", "gvcf")
 
-    A gzip file is one task, so parallelism is the number of files.
-    """
-    reader = (spark.readStream if stream else spark.read).option("pathGlobFilter", GVCF_GLOB)
-    if stream:
-        reader = reader.option("maxFileAge", ANY_AGE)
-    if stream and max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path).select("value", F.col("_metadata.file_name").alias("gvcf"))
+
+def named_lines(lines: DataFrame) -> DataFrame:
+    """Lines with the name of their file as ``gvcf``."""
+    return lines.withColumn("gvcf", F.element_at(F.split("path", "/"), -1))
 
 
 def sample_of(gvcf: Column) -> Column:
@@ -46,7 +43,8 @@ def _format_value(keys: Column, values: Column, key: str) -> Column:
 def parse_gvcf(lines: DataFrame) -> DataFrame:
     """Lines to records (see ``schemas.RECORDS``) plus ``gvcf``, ``is_header``, ``malformed``.
 
-    A data line with fewer than ten columns or without a position is
+    Closing rows of a read, if ``lines`` has them, stay as rows marked ``is_end``
+    with their ``seconds`` and ``error``. A data line with fewer than ten columns or without a position is
     malformed. The column header line of a file is kept as one row marked
     ``is_header``, so that a file without records still shows.
     """
@@ -54,8 +52,12 @@ def parse_gvcf(lines: DataFrame) -> DataFrame:
     keys, values = F.split(F.get(f, F.lit(8)), ":"), F.split(F.get(f, F.lit(9)), ":")
     ids = F.get(f, F.lit(2))
     pos = F.get(f, F.lit(1)).try_cast("int")
-    header = F.col("value").startswith("#CHROM")
-    data = lines.filter((~F.col("value").startswith("#") & (F.col("value") != "")) | header)
+    header = F.coalesce(F.col("value").startswith("#CHROM"), F.lit(False))
+    wanted, closing, ended = (~F.col("value").startswith("#") & (F.col("value") != "")) | header, [], F.lit(False)
+    if "seconds" in lines.columns:
+        ended = F.col("value").isNull()
+        wanted, closing = wanted | ended, [ended.alias("is_end"), "seconds", "error"]
+    data = lines.filter(wanted)
     return data.select(
         "gvcf",
         header.alias("is_header"),
@@ -69,7 +71,8 @@ def parse_gvcf(lines: DataFrame) -> DataFrame:
         parse_call(_format_value(keys, values, "GT")).alias("LGT"),
         _format_value(keys, values, "GQ").try_cast("int").alias("gq"),
         _format_value(keys, values, "DP").try_cast("int").alias("dp"),
-        (~header & (pos.isNull() | (F.size(f) < 10))).alias("malformed"),
+        (~header & ~ended & (pos.isNull() | (F.size(f) < 10))).alias("malformed"),
+        *closing,
     )
 
 
@@ -80,28 +83,39 @@ def read_gvcf(spark: SparkSession, path: str) -> DataFrame:
 
 def good_records(parsed: DataFrame) -> DataFrame:
     """Parsed rows that are well-formed data lines, without the file bookkeeping."""
-    return parsed.filter(~F.col("is_header") & ~F.col("malformed")).drop("gvcf", "is_header", "malformed")
+    rows = parsed.filter(~F.col("is_header") & ~F.col("malformed"))
+    if "is_end" in parsed.columns:
+        rows = rows.filter(~F.col("is_end"))
+    return rows.drop("gvcf", "is_header", "malformed", "is_end", "seconds", "error")
 
 
 def parse_sites(lines: DataFrame, info_fields: list[str], skip_invalid_loci: bool = True) -> DataFrame:
-    """Site lines to ``contig, pos, alleles, rsids`` and one list of texts per INFO field.
+    """Site lines to ``contig, pos, alleles, rsids, filters`` and one list of texts per INFO field.
 
+    ``filters`` is empty for a site that passed and null where none was applied.
     ``skip_invalid_loci`` leaves out unknown contigs and positions off their end.
     """
     f = F.split("value", "\t")
-    ids = F.get(f, F.lit(2))
+    ids, told = F.get(f, F.lit(2)), F.get(f, F.lit(6))
     sites = lines.filter(~F.col("value").startswith("#") & (F.col("value") != "")).select(
         F.get(f, F.lit(0)).alias("contig"),
         F.get(f, F.lit(1)).try_cast("int").alias("pos"),
         F.concat(F.array(F.get(f, F.lit(3))), F.split(F.get(f, F.lit(4)), ",")).alias("alleles"),
         F.when(ids != ".", F.split(ids, ";")).alias("rsids"),
+        F.when(told == "PASS", F.array().cast("array<string>")).when(told != ".", F.array_sort(F.array_distinct(F.split(told, ";"))))
+        .alias("filters"),
         *[F.split(_info(F.get(f, F.lit(7)), name), ",").alias(name) for name in info_fields],
     )
     return sites.filter(valid_locus(F.col("contig"), F.col("pos"))) if skip_invalid_loci else sites
 
 
 def read_sites(
-    spark: SparkSession, path: str, info_fields: list[str], skip_invalid_loci: bool = True
+    spark: SparkSession, path: str, info_fields: list[str], skip_invalid_loci: bool = True, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
-    """Row part of a sites VCF; a block-gzipped file reads like a gzipped one."""
-    return parse_sites(spark.read.text(path), info_fields, skip_invalid_loci)
+    """Row part of a sites VCF, a file or a folder of them.
+
+    A block-gzipped file is read in ranges of ``range_bytes``, each a task; a
+    plain gzip file in one. A file that cannot be decoded raises.
+    """
+    files = [File(r.path, r.length) for r in listed_files(spark, path).select("path", "length").collect()]
+    return parse_sites(gzip_lines(spark, files, range_bytes=range_bytes), info_fields, skip_invalid_loci)

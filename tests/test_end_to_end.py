@@ -70,9 +70,10 @@ def test_scan(spark, gvcfs, rows):
 def test_stream_reads_each_file_once(spark, gvcfs, folder, rows):
     out, checkpoint = f"{folder}/staging", f"{folder}/cp"
     ingest_new_files(spark, gvcfs, out, checkpoint)
-    before = spark.read.parquet(f"{out}/records").count()
+    read = lambda: spark.read.parquet(f"{out}/records").filter("not is_end").count()
+    before = read()
     ingest_new_files(spark, gvcfs, out, checkpoint)
-    assert spark.read.parquet(f"{out}/records").count() == before == 8 + 2
+    assert read() == before == 8 + 2
     add_second_batch(gvcfs)
     long_ago = time.time() - 30 * 86400
     os.utime(f"{gvcfs}/s3.gvcf.gz", (long_ago, long_ago))

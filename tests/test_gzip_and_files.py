@@ -1,0 +1,211 @@
+"""Block-gzip ranges, repaired and corrupt files, side-by-side ingests."""
+
+import gzip
+import os
+import struct
+import threading
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pytest
+from test_end_to_end import HEADER, line, write_gvcf
+
+from lociweave.operators import runs as R
+from lociweave.plans.ingest import IngestFolders, ingest, latest_cohort
+from lociweave.session import create_once, next_claim
+from lociweave.sources import tables, vcf
+from lociweave.sources.gzip_lines import File, gzip_lines
+from lociweave.streaming.file_ingest import file_status, ingest_new_files
+
+END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+
+
+def block(text: bytes) -> bytes:
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(text) + deflate.flush()
+    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25)
+    return head + body + struct.pack("<II", zlib.crc32(text), len(text))
+
+
+def block_gzip(path, text: bytes, sizes) -> None:
+    out, at = [], 0
+    while at < len(text):
+        size = int(next(sizes))
+        out.append(block(text[at:at + size]))
+        at += size
+    Path(path).write_bytes(b"".join(out) + END)
+
+
+def random_sizes(seed, most):
+    rng = np.random.default_rng(seed)
+    while True:
+        yield rng.integers(1, most)
+
+
+def values(df):
+    return sorted(r.value for r in df.filter("value is not null and value <> ''").select("value").collect())
+
+
+@pytest.mark.parametrize("most", [40, 3000, 60_000])
+def test_every_line_once_whatever_the_ranges(spark, folder, most):
+    rng = np.random.default_rng(most)
+    # Lines from empty to longer than a block; some bytes look like a header.
+    lines = [f"line{i} " + "x" * int(rng.choice([0, 5, 200, 9000], p=[0.3, 0.4, 0.28, 0.02])) for i in range(900)]
+    text = "\n".join(lines).encode() + (b"\n" if most != 3000 else b"")
+    text = text.replace(b"line77 ", b"line77 \x1f\x8b\x08\x04BC")
+    path = f"{folder}/a.vcf.gz"
+    block_gzip(path, text, random_sizes(most, most))
+    want = sorted(text.decode("utf-8", "replace").rstrip("\n").split("\n"))
+    file = [File(path, os.path.getsize(path))]
+    for parts in (1, 7, 40):
+        read = gzip_lines(spark, file, range_bytes=-(-file[0].length // parts))
+        assert values(read) == want
+        assert read.rdd.getNumPartitions() == -(-file[0].length // -(-file[0].length // parts))
+        assert read.filter("value is null").agg({"n_lines": "sum"}).first()[0] >= len(want)
+
+
+def test_plain_gzip_members_and_text(spark, folder):
+    Path(f"{folder}/a.gz").write_bytes(gzip.compress(b"one\r\ntw") + gzip.compress(b"o\nthree") + b"\0" * 9)
+    Path(f"{folder}/b.txt").write_bytes(b"four\nfive\n")
+    Path(f"{folder}/c.gz").write_bytes(b"")
+    files = [File(f"{folder}/{n}", os.path.getsize(f"{folder}/{n}")) for n in ("a.gz", "b.txt", "c.gz")]
+    assert values(gzip_lines(spark, files, range_bytes=4)) == ["five", "four", "one", "three", "two"]
+    assert gzip_lines(spark, []).count() == 0
+
+
+def test_sites_file_in_many_tasks(spark, folder, rows):
+    head = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n"
+    told = ["PASS", ".", "LowQual;AC0", "AC0"]
+    text = head + "".join(f"1\t{i + 1}\trs{i}\tA\tC,G\t.\t{told[i % 4]}\tAF=0.5,{i};AF_nfe=.\n" for i in range(3000)) + "zz\t1\t.\tA\tC\t.\t.\t.\n"
+    Path(f"{folder}/sites").mkdir()
+    path = f"{folder}/sites/s.vcf.gz"
+    block_gzip(path, text.encode(), random_sizes(1, 4000))
+    one = vcf.read_sites(spark, path, ["AF"])
+    many = vcf.read_sites(spark, f"{folder}/sites", ["AF"], range_bytes=os.path.getsize(path) // 40)
+    assert one.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() >= 40
+    assert rows(one) == rows(many) and one.count() == 3000
+    assert rows(one.filter("pos <= 4"), "pos", "filters") == [(1, []), (2, None), (3, ["AC0", "LowQual"]), (4, ["AC0"])]
+    broken = bytearray(Path(path).read_bytes())
+    broken[len(broken) // 2] ^= 255
+    Path(path).write_bytes(broken)
+    with pytest.raises(Exception, match="s.vcf.gz, bytes"):
+        vcf.read_sites(spark, path, ["AF"]).count()
+
+
+def test_corrupt_file_fails_alone_and_enters_when_repaired(spark, folder, rows):
+    path, out, claims = f"{folder}/gvcf", f"{folder}/staging", f"{folder}/claims"
+    write_gvcf(path, "good", [line("chr1", 100, "A", "C,<NON_REF>", "0/1")])
+    whole = HEADER.format(sample="cut") + "".join(line("chr1", 100 + i, "A", "C,<NON_REF>", "0/1") for i in range(500))
+    Path(path, "cut.gvcf.gz").write_bytes(gzip.compress(whole.encode())[:-40])
+    block_gzip(f"{path}/flipped.gvcf.gz", whole.encode(), random_sizes(3, 2000))
+    bits = bytearray(Path(path, "flipped.gvcf.gz").read_bytes())
+    bits[len(bits) // 2] ^= 255
+    Path(path, "flipped.gvcf.gz").write_bytes(bits)
+    ingest_new_files(spark, path, out, claims)
+    status = {r.gvcf: r for r in file_status(spark, out).collect()}
+    assert {k: r.status for k, r in status.items()} == {"good.gvcf.gz": "done", "cut.gvcf.gz": "failed", "flipped.gvcf.gz": "failed"}
+    assert "cut off" in status["cut.gvcf.gz"].error and "bytes 0 to" in status["flipped.gvcf.gz"].error
+    assert all(r.seconds > 0 for r in status.values())
+    # Nothing changed: nothing is read.
+    ingest_new_files(spark, path, out, claims)
+    assert file_status(spark, out).agg({"batch_id": "max"}).first()[0] == 0
+    Path(path, "cut.gvcf.gz").write_bytes(gzip.compress(whole.encode()))
+    assert ingest(spark, path, f"{folder}/cohort", "2026-03-11") == "2026-03-11_run001"
+    ingest_new_files(spark, path, out, claims)
+    status = {r.gvcf: (r.status, r.batch_id, r.n_records) for r in file_status(spark, out).collect()}
+    assert status["cut.gvcf.gz"] == ("done", 1, 500) and status["good.gvcf.gz"][1] == 0
+    cohort = latest_cohort(spark, IngestFolders(f"{folder}/cohort"))
+    assert rows(cohort.samples) == [("cut",), ("good",)]
+    block_gzip(f"{path}/flipped.gvcf.gz", whole.encode(), random_sizes(3, 2000))
+    assert ingest(spark, path, f"{folder}/cohort", "2026-03-11") == "2026-03-11_run002"
+    assert rows(latest_cohort(spark, IngestFolders(f"{folder}/cohort")).samples) == [("cut",), ("flipped",), ("good",)]
+    assert ingest(spark, path, f"{folder}/cohort", "2026-03-11") is None
+
+
+def test_an_interrupted_batch_counts_for_nothing(spark, folder, monkeypatch):
+    from lociweave.streaming import file_ingest
+
+    path, out, claims = f"{folder}/gvcf", f"{folder}/staging", f"{folder}/claims"
+    write_gvcf(path, "s1", [line("chr1", 100, "A", "C,<NON_REF>", "0/1")])
+    parse = file_ingest.parse_gvcf
+    monkeypatch.setattr(file_ingest, "named_lines", lambda lines: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingest_new_files(spark, path, out, claims)
+    monkeypatch.undo()
+    assert parse is file_ingest.parse_gvcf
+    ingest_new_files(spark, path, out, claims)
+    assert [(r.gvcf, r.batch_id) for r in file_status(spark, out).collect()] == [("s1.gvcf.gz", 1)]
+
+
+def test_claims_are_given_once(spark, folder):
+    got = []
+    threads = [threading.Thread(target=lambda: got.extend(next_claim(spark, f"{folder}/claims") for _ in range(5))) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(got) == list(range(20))
+    assert create_once(spark, f"{folder}/x/one", "a") and not create_once(spark, f"{folder}/x/one", "b")
+    assert Path(f"{folder}/x/one").read_text() == "a"
+
+
+def test_two_ingests_at_once_are_two_runs(spark, folder, rows):
+    root, done = f"{folder}/cohort", {}
+    for k in ("a", "b"):
+        for i in range(2):
+            write_gvcf(f"{folder}/{k}", f"{k}{i}", [line("chr1", 100 + i, "A", "C,<NON_REF>", "0/1")])
+
+    def one(k):
+        try:
+            done[k] = ingest(spark, f"{folder}/{k}", root, "2026-03-11", resume=False)
+        except Exception as error:  # shown by the assertion
+            done[k] = error
+
+    threads = [threading.Thread(target=one, args=(k,)) for k in ("a", "b")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    # Either each did its own files, or the first to list did both and the other had nothing left or took what was open.
+    assert all(v is None or isinstance(v, str) for v in done.values()), done
+    ids = [v for v in done.values() if v]
+    assert len(ids) == len(set(ids)) >= 1
+    for k in ("a", "b"):
+        ingest(spark, f"{folder}/{k}", root, "2026-03-11", resume=False)
+    folders = IngestFolders(root)
+    assert rows(latest_cohort(spark, folders).samples) == [("a0",), ("a1",), ("b0",), ("b1",)]
+    events, files = tables.read_run_log(spark, folders.log)
+    assert events.select("seq").distinct().count() == events.count()
+    assert R.ingested_files(R.run_states(events), files).count() == 4
+
+
+def test_overtaken_run_is_merged_again(spark, folder, rows, monkeypatch):
+    root = f"{folder}/cohort"
+    write_gvcf(f"{folder}/a", "a0", [line("chr1", 100, "A", "C,<NON_REF>", "0/1")])
+    write_gvcf(f"{folder}/b", "b0", [line("chr1", 100, "A", "G,<NON_REF>", "0/1")])
+    write, overtaken = tables.write_cohort_run, []
+
+    def slow(*args):
+        write(*args)
+        if not overtaken:
+            overtaken.append(True)
+            overtaken.append(ingest(spark, f"{folder}/b", root, "2026-03-11", resume=False))
+
+    monkeypatch.setattr(tables, "write_cohort_run", slow)
+    assert ingest(spark, f"{folder}/a", root, "2026-03-11", resume=False) == "2026-03-11_run001"
+    assert overtaken == [True, "2026-03-11_run002"]
+    cohort = latest_cohort(spark, IngestFolders(root))
+    assert rows(cohort.samples) == [("a0",), ("b0",)]
+    # b0's version came first, so its allele keeps its place.
+    assert rows(cohort.sites, "alleles") == [(["A", "G", "C"],)]
+    assert rows(cohort.calls, "sample_id", "LA") == [("a0", [0, 2]), ("b0", [0, 1])]
+
+
+def test_a_number_is_refused_twice(spark, folder):
+    tables.append_run_event(spark, folder, "r1", 1, R.IN_PROGRESS)
+    with pytest.raises(tables.RunLogConflict):
+        tables.append_run_event(spark, folder, "r2", 1, R.IN_PROGRESS)
+    tables.publish_run_event(spark, folder, lambda *_: {"run_id": "r2", "status": R.CLAIMED})
+    events, _ = tables.read_run_log(spark, folder)
+    assert [(r.run_id, r.seq) for r in events.orderBy("seq").collect()] == [("r1", 1), ("r2", 2)]
