@@ -280,6 +280,17 @@ with {KEYS}, hits as (
 n as (select query, count(*) as n_hits from hits group by query)
 select q.query, coalesce(n.n_hits, 0) as n_hits, h.variant_id, h.chrom, h.pos, h.ref, h.alt
 from fx_requests q left join n on n.query = q.query left join hits h on h.query = q.query and n.n_hits = 1""",
+    "gvcf_scan": """
+select sample_id, raw_contig, pos, ref, alts, case when gt <> './.' then gt end as gt, gq, dp from fx_gvcf""",
+    "sites_scan": """
+select contig, pos, concat_ws(',', ref, alt, alt2) as alleles, rsid as rsids,
+  case site_id % 3 when 0 then '' when 2 then 'q10,s50' end as filters,
+  cast(site_id % 8 as double) as af, cast(null as double) as af_nfe
+from fx_sites where contig <> 'MT' or pos <= 16569""",
+    "docs_filters": f"""
+select {_id()} as variant_id, case when s.pos % 3 = 0 then 'q10,s50' else '' end as filters from fx_sites s""",
+    "autocomplete_position": f"""
+with {KEYS} select variant_id, chrom, pos, ref, alt from keys where starts_with(variant_id, '7-39') order by variant_id limit 1000""",
     "autocomplete": f"""
 with {KEYS} select variant_id, chrom, pos, ref, alt from keys
 where starts_with(variant_id, '7-1') or rsid = '7-1' order by variant_id limit 5""",
@@ -366,6 +377,10 @@ select count(*) as total, count(case when status <> 'failed' then 1 end) as succ
 select gvcf, error from fx_file_status where status = 'failed' order by gvcf limit 20""",
 }
 
+# The indexed and the plain form answer alike.
+ORACLE["lookup_many_indexed"] = ORACLE["lookup_many"]
+ORACLE["autocomplete_indexed"] = ORACLE["autocomplete_rsid"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in ORACLE.items()}

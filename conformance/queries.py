@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.functions.genotypes import call_text, local_to_global
-from lociweave.functions.variants import variant_id
+from lociweave.functions.variants import first_double, variant_id
 from lociweave.genome import contig_index, rename_contig
 from lociweave.operators import annotate, blocks, callstats, combine, documents, genes, lookup, metadata, report, runs
 from lociweave.operators.densify import dense_entries
+from lociweave.sources import vcf
 
 from conformance.shapes import Given
 
@@ -35,6 +36,43 @@ def _id_of(alleles: str = "alleles") -> Column:
     return variant_id(F.col("contig"), F.col("pos"), F.get(alleles, F.lit(0)), F.get(alleles, F.lit(1)))
 
 
+# -- text sources ------------------------------------------------------------
+
+
+@query
+def gvcf_scan(g: Given) -> DataFrame:
+    """Every record as a line of its sample's file, parsed again."""
+    lines = g.sql(
+        "select concat_ws('\t', raw_contig, cast(pos as string), '.', ref, alts, '.', '.', '.', 'GT:DP:GQ', "
+        "concat_ws(':', gt, cast(dp as string), cast(gq as string))) as value, concat(sample_id, '.gvcf.gz') as gvcf from fx_gvcf"
+    )
+    return vcf.good_records(vcf.parse_gvcf(lines)).select(
+        "sample_id", "raw_contig", "pos", "ref", _text("alts").alias("alts"), call_text(F.col("LGT")).alias("gt"), "gq", "dp"
+    )
+
+
+@query
+def sites_scan(g: Given) -> DataFrame:
+    """Every site as a line of a sites file: loci off their contig go, the first of a list stays."""
+    lines = g.sql(
+        "select concat_ws('\t', contig, cast(pos as string), coalesce(rsid, '.'), ref, concat_ws(',', alt, alt2), '.', "
+        "case site_id % 3 when 0 then 'PASS' when 1 then '.' else 's50;q10' end, "
+        "concat('AC=1;AF=', cast(site_id % 8 as string), ',9;AF_nfe=.')) as value from fx_sites"
+    )
+    return vcf.parse_sites(lines, ["AF", "AF_nfe"]).select(
+        "contig", "pos", _text("alleles").alias("alleles"), _text("rsids").alias("rsids"), _text("filters").alias("filters"),
+        first_double(F.col("AF")).alias("af"), first_double(F.col("AF_nfe")).alias("af_nfe"),
+    )
+
+
+@query
+def docs_filters(g: Given) -> DataFrame:
+    """Filters that the variants carry reach the documents as a set."""
+    told = F.when(F.col("pos") % 3 == 0, F.array(F.lit("s50"), F.lit("q10"), F.lit("s50"))).when(F.col("pos") % 3 == 1, F.array())
+    docs = documents.basic_documents(g.statistics.withColumn("filters", told.cast("array<string>")))
+    return docs.select("variant_id", _text("filters").alias("filters"))
+
+
 # -- genotypes and statistics ----------------------------------------------
 
 
@@ -369,6 +407,23 @@ def lookup_many(g: Given) -> DataFrame:
     return lookup.lookup_many(g.document_keys, g.table("fx_requests"))
 
 
+@query
+def lookup_many_indexed(g: Given) -> DataFrame:
+    """The same requests, rsids answered from their index."""
+    return lookup.lookup_many(g.document_keys, g.table("fx_requests"), lookup.rsid_index(g.document_keys))
+
+
+@query
+def autocomplete_indexed(g: Given) -> DataFrame:
+    return lookup.matching_variants(g.document_keys, "rs100006", index=lookup.rsid_index(g.document_keys))
+
+
+@query
+def autocomplete_position(g: Given) -> DataFrame:
+    """Positions that begin with some digits, on one contig, over more than one length."""
+    return lookup.matching_variants(g.document_keys, "7-39", limit=1000)
+
+
 @query
 def autocomplete(g: Given) -> DataFrame:
     return lookup.matching_variants(g.document_keys, "7-1")

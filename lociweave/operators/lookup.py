@@ -6,6 +6,9 @@ Single lookups are filters whose ``chrom`` and ``pos`` parts reach the scan
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,13 @@ NOT_FOUND = "variant not found"
 SEVERAL_FOUND = "multiple variants found, query using variant ID to select one"
 
 
+#: Positions are 32-bit numbers.
+LAST_POSITION = 2**31 - 1
+ASCII_DIGITS = re.compile("[0-9]+")
+#: Megabases, and how many of them a batch lookup names to the scan.
+SPAN_BITS, MOST_SPANS = 20, 256
+
+
 class VariantLookupError(ValueError):
     """A lookup that the caller can correct."""
 
@@ -48,14 +58,61 @@ def has_id(variant_id_or_rsid: str) -> Column:
     return same
 
 
+def positions_with_prefix(digits: str) -> list[tuple[int, int]]:
+    """Closed ranges of the positions whose decimal form begins with ``digits``: one for each further digit, ten at most."""
+    if digits.startswith("0"):
+        return [(0, 0)] if digits == "0" else []
+    ranges = []
+    low, high = int(digits), int(digits)
+    while low <= LAST_POSITION:
+        ranges.append((low, min(high, LAST_POSITION)))
+        low, high = 10 * low, 10 * high + 9
+    return ranges
+
+
 def matches(query: str) -> Column:
-    """Id prefix or exact rsid."""
+    """Id prefix or exact rsid.
+
+    What the prefix tells of contig and position goes to the scan beside it.
+    """
+    chrom, dash, rest = query.partition("-")
     prefix = F.col("variant_id").startswith(query)
-    if "-" in query:
-        prefix = (F.col("chrom") == query.split("-", 1)[0]) & prefix
+    prefix = (F.col("chrom") == chrom if dash else F.col("chrom").startswith(query)) & prefix
+    digits, ended, _ = rest.partition("-")
+    if ASCII_DIGITS.fullmatch(digits):
+        exact = [(int(digits), int(digits))] if int(digits) <= LAST_POSITION and str(int(digits)) == digits else []
+        ranges = exact if ended else positions_with_prefix(digits)
+        within = [F.col("pos").between(a, b) if a < b else F.col("pos") == a for a, b in ranges]
+        prefix = (reduce(lambda x, y: x | y, within) if within else F.lit(False)) & prefix
     return prefix | F.array_contains("rsids", query) if RSID.fullmatch(query) else prefix
 
 
+# -- rsid index -------------------------------------------------------------
+
+
+def rsid_index(docs: DataFrame) -> DataFrame:
+    """``rsid`` and the match fields of every document that carries it."""
+    return docs.select(F.explode(F.array_distinct("rsids")).alias("rsid"), *MATCH_FIELDS)
+
+
+def at_places(places: list[Row]) -> Column:
+    """Documents of a few known places; contig, position and id all reach the scan."""
+    each = [(F.col("chrom") == p.chrom) & (F.col("pos") == p.pos) & (F.col("variant_id") == p.variant_id) for p in places]
+    return reduce(lambda a, b: a | b, each) if each else F.lit(False)
+
+
+def near_places(places: DataFrame) -> Column | None:
+    """A predicate for the scan that holds for all of some places (``chrom, pos``): their span in each megabase.
+
+    None where there are more than ``MOST_SPANS`` megabases; a join then has to do.
+    """
+    spans = places.groupBy("chrom", F.shiftright("pos", SPAN_BITS)).agg(F.min("pos").alias("low"), F.max("pos").alias("high"))
+    few = spans.select("chrom", "low", "high").limit(MOST_SPANS + 1).collect()
+    if len(few) > MOST_SPANS:
+        return None
+    return reduce(lambda a, b: a | b, [in_region(r.chrom, r.low, r.high) for r in few]) if few else F.lit(False)
+
+
 # -- response shapes -------------------------------------------------------
 
 
@@ -109,17 +166,34 @@ def count_variants_in_region(docs: DataFrame, chrom: str, start: int, stop: int)
     return docs.filter(in_region(chrom, start, stop)).agg(F.count("*").alias("n_variants"))
 
 
-def matching_variants(docs: DataFrame, query: str, limit: int = MATCH_LIMIT) -> DataFrame:
-    """Autocomplete: exact rsid hits first, then ids in order."""
+def matching_variants(docs: DataFrame, query: str, limit: int = MATCH_LIMIT, index: DataFrame | None = None) -> DataFrame:
+    """Autocomplete: exact rsid hits first, then ids in order.
+
+    With the ``index`` of :func:`rsid_index` an rsid is looked up there; the
+    documents are then read for id prefixes only, which the contig prunes.
+    """
+    if index is not None and RSID.fullmatch(query):
+        exact = index.filter(F.col("rsid") == query).select(F.lit(True).alias("exact"), *MATCH_FIELDS)
+        prefix = docs.filter((F.col("chrom").startswith(query)) & F.col("variant_id").startswith(query))
+        prefix = prefix.filter(~F.coalesce(F.array_contains("rsids", query), F.lit(False)))
+        both = exact.unionByName(prefix.select(F.lit(False).alias("exact"), *MATCH_FIELDS))
+        return both.orderBy(F.desc("exact"), "variant_id").limit(limit).drop("exact")
     exact = F.array_contains("rsids", query)
     return match_shape(
         docs.filter(matches(query)).orderBy(F.desc_nulls_last(exact), "variant_id").limit(limit)
     )
 
 
-def fetch_variant(docs: DataFrame, variant_id_or_rsid: str) -> Row:
-    """The one variant of an id; raises when there is none or more than one."""
-    hits = variant_shape(docs.filter(has_id(variant_id_or_rsid))).limit(2).collect()
+def fetch_variant(docs: DataFrame, variant_id_or_rsid: str, index: DataFrame | None = None) -> Row:
+    """The one variant of an id; raises when there is none or more than one.
+
+    With the ``index`` of :func:`rsid_index` an rsid is read there first, and its place from the documents.
+    """
+    wanted = has_id(variant_id_or_rsid)
+    if index is not None and RSID.fullmatch(variant_id_or_rsid):
+        places = index.filter(F.col("rsid") == variant_id_or_rsid).limit(2).collect()
+        wanted = at_places(places)
+    hits = variant_shape(docs.filter(wanted)).limit(2).collect()
     if not hits:
         raise VariantLookupError(NOT_FOUND)
     if len(hits) > 1:
@@ -130,19 +204,34 @@ def fetch_variant(docs: DataFrame, variant_id_or_rsid: str) -> Row:
 # -- batch lookups ---------------------------------------------------------
 
 
-def lookup_many(docs: DataFrame, queries: DataFrame) -> DataFrame:
+def lookup_many(docs: DataFrame, queries: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """``query, n_hits`` and the match fields when exactly one document answers.
 
-    Ids and rsids are routed by shape, as in the single form. Hits of a
-    query are reduced to a count and one row map-side.
+    Ids and rsids are routed by shape, as in the single form. An id is joined by
+    its parts too, and the megabases of not too many ids are named to the scan.
+    With the ``index`` of :func:`rsid_index` rsids are answered from it alone; without,
+    from the documents' own lists. Hits of a query are reduced to a count and
+    one row map-side.
     """
     asked = queries.select("query").distinct()
     row = F.struct(*MATCH_FIELDS)
-    by_id = asked.filter(~looks_like_rsid(F.col("query"))).join(
-        docs.select(F.col("variant_id").alias("query"), row.alias("hit")), "query"
+    parts = F.split("query", "-")
+    ids = asked.filter(~looks_like_rsid(F.col("query"))).select(
+        "query", F.get(parts, F.lit(0)).alias("chrom"), F.get(parts, F.lit(1)).try_cast("int").alias("pos")
     )
+    # Ids that no document can have by their form are asked for as they are.
+    formed = F.col("query").rlike("^[^-]+-(0|[1-9][0-9]{0,9})-[^-]+-[^-]+$") & F.col("pos").isNotNull()
+    placed, odd = ids.filter(formed), ids.filter(~F.coalesce(formed, F.lit(False))).select("query")
+    near = near_places(placed)
+    within = docs if near is None else docs.filter(near)
+    by_id = placed.join(
+        within.select("chrom", "pos", F.col("variant_id").alias("query"), row.alias("hit")), ["chrom", "pos", "query"]
+    ).select("query", "hit")
+    if not odd.isEmpty():
+        by_id = by_id.unionByName(odd.join(docs.select(F.col("variant_id").alias("query"), row.alias("hit")), "query"))
+    listed = rsid_index(docs) if index is None else index
     by_rsid = asked.filter(looks_like_rsid(F.col("query"))).join(
-        docs.select(F.explode(F.array_distinct("rsids")).alias("query"), row.alias("hit")), "query"
+        listed.select(F.col("rsid").alias("query"), row.alias("hit")), "query"
     )
     found = by_id.unionByName(by_rsid).groupBy("query").agg(
         F.count("*").alias("n_hits"), F.min("hit").alias("hit")

@@ -8,18 +8,27 @@ from lociweave.operators.callstats import call_statistics
 from lociweave.operators.combine import Cohort
 from lociweave.operators.documents import annotated_documents, basic_documents
 from lociweave.operators.lookup import variants_by_interval
-from lociweave.sources.documents import read_documents, write_by_interval, write_documents
+from lociweave.sources.documents import read_documents, write_by_interval, write_documents, write_rsid_index
 
 
-def export_annotated(variants: DataFrame, path: str) -> int:
-    """Full documents of a stored variant table, written in its order; returns how many."""
-    return write_documents(annotated_documents(variants), path, in_order=True)
+def export_annotated(variants: DataFrame, path: str, rsid_index: str | None = None) -> int:
+    """Full documents of a stored variant table, written in its order; returns how many.
 
+    ``rsid_index`` is where the table of their rsids goes.
+    """
+    n = write_documents(annotated_documents(variants), path, in_order=True)
+    if rsid_index:
+        write_rsid_index(variants.sparkSession, path, rsid_index)
+    return n
 
-def export_basic(cohort: Cohort, path: str) -> int:
+
+def export_basic(cohort: Cohort, path: str, rsid_index: str | None = None) -> int:
     """Statistics-only documents straight from a cohort store."""
     stats = call_statistics(cohort.sites, cohort.calls, cohort.ref_blocks, blocks_disjoint=True)
-    return write_documents(basic_documents(stats), path)
+    n = write_documents(basic_documents(stats), path)
+    if rsid_index:
+        write_rsid_index(cohort.sites.sparkSession, path, rsid_index)
+    return n
 
 
 def store_lookups(spark: SparkSession, documents: str, genes: DataFrame, transcripts: DataFrame, base: str) -> None:

@@ -37,6 +37,9 @@ MANIFEST = (
     "started_at:string,gvcfs:array<string>,completed_at:string,n_samples:long>>"
 )
 
+# Where each rsid stands.
+RSID_INDEX = "rsid string, variant_id string, chrom string, pos int, ref string, alt string"
+
 # The declared mapping of the document table, 27 fields, both export paths.
 VARIANT_DOCS = (
     "variant_id string, chrom string, pos int, ref string, alt string, "

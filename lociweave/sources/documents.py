@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.operators.documents import DOC_COLUMNS, as_declared, bulk_lines, upsert_documents
-from lociweave.schemas import VARIANT_DOCS
+from lociweave.operators.lookup import rsid_index
+from lociweave.schemas import RSID_INDEX, VARIANT_DOCS
 from lociweave.session import balanced, path_exists, replacing, table_complete
 from lociweave.sources.tables import clustered
 
@@ -43,6 +44,21 @@ def upsert_into(spark: SparkSession, current: str, incoming: DataFrame, target:
     return write_documents(upsert_documents(read_documents(spark, current), as_declared(incoming)), target)
 
 
+def write_rsid_index(spark: SparkSession, documents: str, path: str) -> None:
+    """The rsids of a stored document table with their places, in rsid order over all files.
+
+    Written with the documents; a lookup opens the row groups whose range holds its rsid.
+    """
+    listed = rsid_index(read_documents(spark, documents))
+    replacing(listed.repartitionByRange("rsid").sortWithinPartitions("rsid", "chrom", "pos")).parquet(path)
+
+
+def read_rsid_index(spark: SparkSession, path: str) -> DataFrame:
+    if not table_complete(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.schema(RSID_INDEX).parquet(path)
+
+
 def write_bulk_text(docs: DataFrame, index: str, path: str) -> None:
     """Bulk-load text files, an action and a document line per document.
 

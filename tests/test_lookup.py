@@ -66,3 +66,33 @@ def test_genome_check(spark):
     from lociweave.genome import dataset_catalog
 
     assert dataset_catalog(spark).count() == 16
+
+
+def test_prefix_ranges_cover_just_the_positions_that_begin_with_the_digits():
+    for digits in ("1", "39", "117", "2147483647", "999999999", "0", "05"):
+        ranges = L.positions_with_prefix(digits)
+        assert len(ranges) <= 10
+        inside = lambda p: any(a <= p <= b for a, b in ranges)
+        for p in [0, 1, 5, 10, 11, 39, 117, 390, 399, 400, 1170, 11799, 11800, 39_000_000, 2_147_483_647, 999_999_999, 1_999_999_999]:
+            assert inside(p) == str(p).startswith(digits)
+
+
+def test_index_answers_as_the_documents_do(spark, docs, rows):
+    index = L.rsid_index(docs)
+    assert L.fetch_variant(docs, "rs8", index).variant_id == "1-5-A-G"
+    with pytest.raises(L.VariantLookupError, match="multiple variants found"):
+        L.fetch_variant(docs, "rs7", index)
+    with pytest.raises(L.VariantLookupError, match="variant not found"):
+        L.fetch_variant(docs, "rs9", index)
+    for query in ("rs7", "rs8", "rs", "rs70"):
+        got = [r.variant_id for r in L.matching_variants(docs, query, index=index).collect()]
+        assert got == [r.variant_id for r in L.matching_variants(docs, query).collect()]
+    asked = spark.createDataFrame([(q,) for q in ("rs7", "rs8", "1-5-A-C", "zz", "1-05-A-C", "1-99999999999-A-C", "10-5-A-C")], "query string")
+    assert rows(L.lookup_many(docs, asked, index)) == rows(L.lookup_many(docs, asked))
+
+
+def test_prefixes_with_and_without_an_end(docs):
+    found = lambda q: [r.variant_id for r in L.matching_variants(docs, q, limit=9).collect()]
+    assert found("1-5-") == ["1-5-A-C", "1-5-A-G"] and found("1-5-A-G") == ["1-5-A-G"]
+    assert found("1-50") == ["1-50-A-G"] and found("1-05") == [] and found("1-99999999999-") == [] and found("1-") == found("1-5")
+    assert found("10") == ["10-5-A-C"] and found("") == ["1-5-A-C", "1-5-A-G", "1-50-A-G", "10-5-A-C"]

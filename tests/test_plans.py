@@ -17,6 +17,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def plan(df):
+    # Long lists of pushed filters are shown whole.
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -48,7 +50,34 @@ def test_id_lookup_prunes_by_its_parts(spark, stored):
 def test_prefix_lookup_prunes_the_contig(spark, stored):
     docs = doc_io.read_documents(spark, stored)
     scan = scan_of(plan(docs.filter(L.matches("7-1"))))
-    assert "chrom" in scan[1] and "StringStartsWith(variant_id,7-1)" in scan[2]
+    assert "chrom" in scan[1] and "StringStartsWith(variant_id,7-1)" in scan[2] and "pos" in scan[2]
+
+
+def test_prefix_lookup_names_position_ranges(spark, stored):
+    docs = doc_io.read_documents(spark, stored)
+    scan = scan_of(plan(docs.filter(L.matches("7-39"))))
+    assert "EqualTo(pos,39)" in scan[2] and "GreaterThanOrEqual(pos,390)" in scan[2] and "LessThanOrEqual(pos,399)" in scan[2]
+    assert "chrom" in scan_of(plan(docs.filter(L.matches("1"))))[1]
+
+
+def test_rsid_lookup_reads_the_index_and_one_place(spark, stored, tmp_path):
+    docs = doc_io.read_documents(spark, stored)
+    named = docs.withColumn("rsids", F.array(F.concat(F.lit("rs"), "pos")))
+    doc_io.write_documents(named, f"{tmp_path}/docs")
+    doc_io.write_rsid_index(spark, f"{tmp_path}/docs", f"{tmp_path}/index")
+    index = doc_io.read_rsid_index(spark, f"{tmp_path}/index")
+    one = index.filter(F.col("rsid") == "rs5")
+    assert "EqualTo(rsid,rs5)" in scan_of(plan(one))[2]
+    place = index.orderBy("rsid").limit(1).collect()
+    scan = scan_of(plan(docs.filter(L.at_places(place))))
+    assert "chrom" in scan[1] and f"EqualTo(pos,{place[0].pos})" in scan[2] and "EqualTo(variant_id" in scan[2]
+    assert L.fetch_variant(named, place[0].rsid, index).variant_id == place[0].variant_id
+    # Autocomplete of an rsid reads no contig of the documents, the batch form reads rsids from the index alone.
+    text = plan(L.matching_variants(doc_io.read_documents(spark, f"{tmp_path}/docs"), "rs5", index=index))
+    assert "StartsWith(chrom" in text and "EqualTo(rsid,rs5)" in text
+    asked = spark.createDataFrame([("rs5",), (place[0].variant_id,)], "query string")
+    text = plan(L.lookup_many(doc_io.read_documents(spark, f"{tmp_path}/docs"), asked, index))
+    assert f"GreaterThanOrEqual(pos,{place[0].pos})" in text and not re.search(r"ReadSchema: [^\n]*rsids", text)
 
 
 def empty(spark, ddl):
