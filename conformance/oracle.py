@@ -220,6 +220,13 @@ with {DOCS} select """ + ", ".join(
 select {_id('')} as variant_id, 'second' as written, cadd_phred as cadd_score from fx_cadd
 union all select {_id()}, 'first', cast(null as double) from fx_sites s where s.rsid is not null
   and not exists (select 1 from fx_cadd c where c.contig = s.contig and c.pos = s.pos and c.ref = s.ref and c.alt = s.alt)""",
+    "docs_upsert_last": """
+with writes as (
+  select concat(contig, '-', cast(pos as string)) as variant_id, sample_id, gq,
+    row_number() over (partition by contig, pos order by gq desc, sample_id desc) as nth from fx_lgt where l0 = 1)
+select variant_id, sample_id, gq from writes where nth = 1
+union all select concat(contig, '-', cast(pos as string)), 'none', 0 from fx_sites
+where concat(contig, '-', cast(pos as string)) not in (select variant_id from writes)""",
     "docs_last_write": """
 select variant_id, sample_id, gq, version from (
   select concat(contig, '-', cast(pos as string)) as variant_id, sample_id, gq,

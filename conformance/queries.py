@@ -270,6 +270,17 @@ def docs_upsert(g: Given) -> DataFrame:
     return documents.upsert_documents(current, incoming)
 
 
+@query
+def docs_upsert_last(g: Given) -> DataFrame:
+    """Many writes per document in one increment: the last of them replaces the stored one."""
+    current = g.sql("select concat(contig, '-', cast(pos as string)) as variant_id, 'none' as sample_id, 0 as gq from fx_sites")
+    writes = g.sql(
+        "select concat(contig, '-', cast(pos as string)) as variant_id, sample_id, gq, "
+        "cast(gq as bigint) * 100000000 + cast(substr(sample_id, 2) as bigint) as version from fx_lgt where l0 = 1"
+    )
+    return documents.upsert_documents(current, writes, "version")
+
+
 @query
 def docs_last_write(g: Given) -> DataFrame:
     """Many writes per document: the last call of each variant wins."""

@@ -20,6 +20,8 @@ from lociweave.genome import on_cohort_contig, rename_contig
 from lociweave.operators.blocks import carve_blocks, position_bin
 
 LOCUS = ["contig", "pos"]
+#: Positions of one span, as a power of two: a megabase.
+SPAN_BITS = 20
 
 
 @dataclass
@@ -151,21 +153,34 @@ def combine(records: DataFrame, previous: Cohort | None = None) -> Cohort:
     added = new_entries(records, previous.sites if previous else None)
     if previous is None:
         return added
+    untouched = previous.sites.join(added.sites.select(*LOCUS), LOCUS, "left_anti")
     return Cohort(
-        sites=added.sites,
+        sites=untouched.unionByName(added.sites),
         calls=previous.calls.unionByName(added.calls),
         ref_blocks=previous.ref_blocks.unionByName(added.ref_blocks),
         samples=previous.samples.unionByName(added.samples, allowMissingColumns=True),
     )
 
 
+def sites_at(previous_sites: DataFrame, records: DataFrame) -> DataFrame:
+    """Earlier sites at the loci of some records.
+
+    Whole megabases are left out first, by a list that the genome's length bounds
+    (some 3,100), so sites far from any record are neither shuffled nor compared.
+    """
+    near = F.shiftright("pos", SPAN_BITS).alias("span")
+    spans = records.select("contig", near).distinct()
+    sites = previous_sites.withColumn("span", near).join(F.broadcast(spans), ["contig", "span"], "left_semi").drop("span")
+    return sites.join(records.select(*LOCUS).distinct(), LOCUS, "left_semi")
+
+
 def new_entries(
     records: DataFrame,
     previous_sites: DataFrame | None = None,
     samples: DataFrame | None = None,
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, _: df,
 ) -> Cohort:
-    """The full site list after the merge, with the entries of the new samples only.
+    """What a merge adds: the allele lists of the loci it touches, and the entries of the new samples.
 
     ``samples`` lists the new samples where that is known, e.g. from file
     names; it also keeps those without any record. ``stage`` may write an
@@ -174,15 +189,23 @@ def new_entries(
     """
     kept = filter_records(records)
     variants = stage(one_record_per_locus(variant_records(kept)), "variants")
-    sites = stage(unify_alleles(variants, previous_sites), "sites")
+    earlier = None if previous_sites is None else sites_at(previous_sites, variants)
+    sites = stage(unify_alleles(variants, earlier).drop("touched"), "sites")
     return Cohort(
-        sites=sites.drop("touched"),
-        calls=calls_from_records(variants, sites.filter("touched")),
+        sites=sites,
+        calls=calls_from_records(variants, sites),
         ref_blocks=carve_blocks(block_records(kept), variants).drop("bin"),
         samples=(records if samples is None else samples).select("sample_id").distinct(),
     )
 
 
+def latest_sites(deltas: DataFrame, order: str) -> DataFrame:
+    """One row per locus of several site lists: the one of the highest ``order``."""
+    columns = [c for c in deltas.columns if c not in (*LOCUS, order)]
+    last = deltas.groupBy(*LOCUS).agg(F.max_by(F.struct(*columns), F.col(order)).alias("last"))
+    return last.select(*LOCUS, *[f"last.{c}" for c in columns])
+
+
 def shared_samples(previous: DataFrame, added: DataFrame) -> DataFrame:
     """Samples present on both sides; a merge expects none."""
     return added.select("sample_id").join(previous.select("sample_id"), "sample_id", "left_semi").distinct()

@@ -65,9 +65,10 @@ def basic_documents(variants: DataFrame) -> DataFrame:
     )
 
 
-def as_declared(docs: DataFrame) -> DataFrame:
+def as_declared(docs: DataFrame, *beside: Column) -> DataFrame:
     """Either document kind under the declared 27-field mapping; absent fields are null."""
     return docs.select(
+        *beside,
         *[
             (F.col(name) if name in docs.columns else F.lit(None)).cast(DOC_TYPES[name]).alias(name)
             for name in DOC_COLUMNS
@@ -81,15 +82,22 @@ def last_write_per_id(docs: DataFrame, version: str) -> DataFrame:
     return latest.select("_latest.*")
 
 
-def upsert_documents(current: DataFrame, incoming: DataFrame) -> DataFrame:
+def one_per_id(docs: DataFrame, order: str | None = None) -> DataFrame:
+    """One document per id: the last by ``order``, which is dropped; without it the greatest row, the same on every run."""
+    if order is not None:
+        return last_write_per_id(docs, order).drop(order)
+    return docs.groupBy("variant_id").agg(F.max(F.struct(*docs.columns)).alias("_kept")).select("_kept.*")
+
+
+def upsert_documents(current: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
     """Documents after writing ``incoming`` over ``current``; same id replaces.
 
     Only ids are compared. The current table is not reshuffled when the
     incoming side measures small enough to broadcast, which an increment
-    mostly does. Of several incoming documents of one id one is written;
-    ``last_write_per_id`` chooses which, where they carry a version.
+    mostly does. Of several incoming documents of one id the last by ``order``
+    is written (see :func:`one_per_id`).
     """
-    incoming = incoming.dropDuplicates(["variant_id"])
+    incoming = one_per_id(incoming, order)
     kept = current.join(incoming.select("variant_id"), "variant_id", "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 

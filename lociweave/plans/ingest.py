@@ -136,6 +136,7 @@ def _merge(spark: SparkSession, folders: IngestFolders, run_id: str, files: Data
     tables.write_cohort_run(added, folders.cohort, run_id)
     n_samples = tables.sample_count(tables.read_cohort(spark, folders.cohort, [*earlier, run_id]))
     _complete(spark, folders, run_id, earlier, n_samples)
+    tables.compact_sites(spark, folders.cohort, [*earlier, run_id])
 
 
 def ingest(

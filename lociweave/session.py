@@ -120,11 +120,16 @@ def create_once(spark: SparkSession, path: str, text: str = "") -> bool:
     return True
 
 
-def next_claim(spark: SparkSession, folder: str) -> int:
-    """A number that nobody else was given, one above the highest so far; the first is 0."""
+def claimed(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers that were given in a folder."""
     target, system = _target(spark, folder)
     names = [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
-    number = max((int(n) for n in names if n.isdigit()), default=-1) + 1
+    return [int(n) for n in names if n.isdigit()]
+
+
+def next_claim(spark: SparkSession, folder: str) -> int:
+    """A number that nobody else was given, one above the highest so far; the first is 0."""
+    number = max(claimed(spark, folder), default=-1) + 1
     while not create_once(spark, f"{folder.rstrip('/')}/{number:012d}"):
         number += 1
     return number

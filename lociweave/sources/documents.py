@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.operators.documents import DOC_COLUMNS, as_declared, bulk_lines, upsert_documents
+from lociweave.operators.combine import SPAN_BITS
+from lociweave.operators.documents import DOC_COLUMNS, as_declared, bulk_lines, one_per_id, upsert_documents
 from lociweave.operators.lookup import rsid_index
 from lociweave.schemas import RSID_INDEX, VARIANT_DOCS
-from lociweave.session import balanced, path_exists, replacing, table_complete
+from lociweave.session import balanced, create_once, next_claim, path_exists, replacing, staged, table_complete
 from lociweave.sources.tables import clustered
 
 
@@ -44,6 +47,73 @@ def upsert_into(spark: SparkSession, current: str, incoming: DataFrame, target:
     return write_documents(upsert_documents(read_documents(spark, current), as_declared(incoming)), target)
 
 
+# -- versioned store ---------------------------------------------------------
+#
+# ``rows/v=N/chrom=C/part=P`` holds the documents of one megabase as version N left
+# them, ``parts/v=N`` which megabases that version wrote. ``commits/K`` names the
+# K-th version that counts; it was made on the K before it, so their numbers rise.
+# Of each megabase the latest version that wrote it holds.
+
+
+def _parted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("part", F.shiftright("pos", SPAN_BITS))
+
+
+def _committed(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the versions that count: one short line for each."""
+    path = f"{base}/commits"
+    return sorted(int(r.value) for r in spark.read.text(path).collect()) if path_exists(spark, path) else []
+
+
+def _live_parts(spark: SparkSession, base: str) -> DataFrame:
+    """``v, chrom, part``: one row per megabase of the genome at most."""
+    parts = spark.read.schema("chrom string, part int, v int").parquet(f"{base}/parts")
+    done = parts.filter(F.col("v").isin(_committed(spark, base)))
+    return done.groupBy("chrom", "part").agg(F.max("v").alias("v"))
+
+
+def _stored_rows(spark: SparkSession, base: str) -> DataFrame:
+    """Live rows with their ``part``; folders of older versions are pruned at run time."""
+    rows = spark.read.schema(f"{VARIANT_DOCS}, part int, v int").parquet(f"{base}/rows")
+    return rows.join(F.broadcast(_live_parts(spark, base)), ["v", "chrom", "part"], "left_semi").drop("v")
+
+
+def read_store(spark: SparkSession, base: str) -> DataFrame:
+    """The documents of the latest version; empty where nothing was stored."""
+    if not _committed(spark, base):
+        return spark.createDataFrame([], VARIANT_DOCS).select(*DOC_COLUMNS)
+    return _stored_rows(spark, base).select(*DOC_COLUMNS)
+
+
+def upsert_store(spark: SparkSession, base: str, incoming: DataFrame, order: str | None = None, attempts: int = 10) -> int:
+    """Documents written over the stored ones; returns the number of the new version.
+
+    Only megabases that ``incoming`` has documents of are read and written, as a
+    new version beside the earlier ones; the first call stores the table. Of
+    several incoming documents of one id the last by ``order`` holds. A writer
+    that another one overtook does its version again on top of the other's.
+    """
+    by = [] if order is None else [F.col(order).alias("_order")]
+    latest = one_per_id(_parted(as_declared(incoming, *by)), "_order" if by else None)
+    fresh = staged(latest, f"{base}/incoming/{uuid.uuid4().hex}")
+    # Megabases that are written: bounded by the genome.
+    touched = fresh.select("chrom", "part").distinct()
+    for _ in range(attempts):
+        done = _committed(spark, base)
+        version = next_claim(spark, f"{base}/versions")
+        rows = fresh
+        if done:
+            stored = _stored_rows(spark, base).join(F.broadcast(touched), ["chrom", "part"], "left_semi")
+            rows = stored.join(fresh.select("variant_id"), "variant_id", "left_anti").unionByName(fresh)
+        ordered = balanced(rows, "chrom", "part").sortWithinPartitions("chrom", "part", "pos")
+        replacing(ordered).partitionBy("chrom", "part").parquet(f"{base}/rows/v={version}")
+        replacing(touched.coalesce(1)).parquet(f"{base}/parts/v={version}")
+        # The place after the versions seen is taken once: whoever takes it is next.
+        if create_once(spark, f"{base}/commits/{len(done):012d}", str(version)):
+            return version
+    raise RuntimeError(f"{base}: overtaken {attempts} times")
+
+
 def write_rsid_index(spark: SparkSession, documents: str, path: str) -> None:
     """The rsids of a stored document table with their places, in rsid order over all files.
 

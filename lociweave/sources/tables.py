@@ -1,9 +1,11 @@
 """Cohort store, keyed tables, metadata and run log.
 
-Store layout: ``calls``, ``ref_blocks`` and ``samples`` are partitioned by
-the run that added them, ``sites`` by the run whose version it lists in
-full. A version is its run and the runs before it, so a merge writes the new
-entries only and earlier versions stay as they are.
+Store layout: all tables are partitioned by the run that added their rows. A
+version is its run and the runs before it, so a merge writes new entries only and
+earlier versions stay as they are. A run's ``sites`` are the loci it touched, with
+their allele lists as of then; of a locus the latest row holds. From time to
+time ``sites_full`` holds a version's whole list, so that a reader has few runs to
+lay over each other.
 """
 
 from __future__ import annotations
@@ -11,16 +13,19 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave import schemas
 from lociweave.operators.annotate import first_per_key
-from lociweave.operators.combine import Cohort
+from lociweave.operators.combine import Cohort, latest_sites
 from lociweave.session import balanced, create_once, path_exists, replacing, table_complete
 
 CLUSTER_BITS = 20
+#: Runs whose touched sites are laid over each other before a whole list is written again.
+COMPACT_AFTER = 8
 
 
 def clustered(df: DataFrame, contig: str = "contig") -> DataFrame:
@@ -33,16 +38,40 @@ def clustered(df: DataFrame, contig: str = "contig") -> DataFrame:
 
 
 def write_cohort_run(entries: Cohort, base: str, run_id: str) -> None:
-    """Add one run's entries and its full site list under ``base``.
+    """Add one run's entries and the sites it touched under ``base``.
 
     A repeated write of the same run replaces its own folders only, so a
     crashed run can be done again.
     """
-    parts = {"calls": clustered(entries.calls), "ref_blocks": clustered(entries.ref_blocks)}
+    parts = {"calls": clustered(entries.calls), "ref_blocks": clustered(entries.ref_blocks), "sites": clustered(entries.sites)}
     for name, df in parts.items():
         replacing(df).partitionBy("contig").parquet(f"{base}/{name}/run_id={run_id}")
     replacing(entries.samples).parquet(f"{base}/samples/run_id={run_id}")
-    replacing(clustered(entries.sites)).partitionBy("contig").parquet(f"{base}/sites/run_id={run_id}")
+
+
+def _full_until(spark: SparkSession, base: str, run_ids: list[str]) -> int:
+    """How many of the runs the latest whole site list covers, 0 where there is none."""
+    for n in range(len(run_ids), 0, -1):
+        if table_complete(spark, f"{base}/sites_full/run_id={run_ids[n - 1]}"):
+            return n
+    return 0
+
+
+def _sites(spark: SparkSession, base: str, run_ids: list[str]) -> DataFrame:
+    """The whole list of a version: its last full one and the runs since, the latest row of each locus."""
+    covered = _full_until(spark, base, run_ids)
+    lists = [f"{base}/sites_full/run_id={run_ids[covered - 1]}"] if covered else []
+    lists += [f"{base}/sites/run_id={r}" for r in run_ids[covered:]]
+    read = [spark.read.schema(schemas.SITES).parquet(path).withColumn("nth", F.lit(n)) for n, path in enumerate(lists)]
+    return read[0].drop("nth") if len(read) == 1 else latest_sites(reduce(DataFrame.unionByName, read), "nth")
+
+
+def compact_sites(spark: SparkSession, base: str, run_ids: list[str], after: int = COMPACT_AFTER) -> bool:
+    """Writes the whole site list of the latest version once ``after`` runs have come since the last; tells whether it did."""
+    if len(run_ids) - _full_until(spark, base, run_ids) < after:
+        return False
+    replacing(clustered(_sites(spark, base, run_ids))).partitionBy("contig").parquet(f"{base}/sites_full/run_id={run_ids[-1]}")
+    return True
 
 
 def read_cohort(spark: SparkSession, base: str, run_ids: list[str]) -> Cohort:
@@ -54,7 +83,7 @@ def read_cohort(spark: SparkSession, base: str, run_ids: list[str]) -> Cohort:
         return reader.parquet(*folders).drop("run_id")
 
     return Cohort(
-        sites=spark.read.schema(schemas.SITES).parquet(f"{base}/sites/run_id={run_ids[-1]}"),
+        sites=_sites(spark, base, run_ids),
         calls=entries("calls", schemas.CALLS),
         ref_blocks=entries("ref_blocks", schemas.REF_BLOCKS),
         samples=entries("samples", schemas.SAMPLES),
