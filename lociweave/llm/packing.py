@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack as pack_ids
 
@@ -27,9 +27,39 @@ from lociweave.llm.common import small_batches, stage
 
 CAPACITY = 2048
 SHARD_ITEMS = 32768
-_CACHE = 300_000
+#: Bytes that a worker's remembered words take at most, of both generations.
+CACHE_BYTES = 128 << 20
+#: What an entry takes beside its two texts.
+_ENTRY = 170
 _TEXTS = 512
-_PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
+#: Words between two looks at the size of the memory.
+_WORDS = 4096
+#: Letters of one pre-token and ASCII signs of the next; no apostrophe, which may start a contraction.
+_PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _packed_ids(ids: list[int]) -> bytes:
+    return pack_ids(f"<{len(ids)}I", *ids)
+
+
+class _Words(dict):
+    """Ids of words; one that isn't there is looked up among older ones, else spelled, and stays."""
+
+    def __init__(self, spell: Callable[[bytes], bytes], older: dict[bytes, bytes]):
+        self.spell, self.older, self.size = spell, older, 0
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.spell(word)
+        self[word] = ids
+        self.size += len(word) + len(ids) + _ENTRY
+        return ids
+
+    def followed(self) -> _Words:
+        """The next generation, for which this one is the older."""
+        self.older = {}
+        return _Words(self.spell, self)
 
 
 class _Encoder:
@@ -37,45 +67,51 @@ class _Encoder:
 
     White space only separates in this vocabulary, and nothing in it reaches
     over white space, so ids of the words in a row are the ids of the text.
+    Remembered words stand in two generations: when the younger one is full it
+    becomes the older one, and what is met there again moves over.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts = {w: m.groups() if (m := _PLAIN.fullmatch(w)) else (w,) for w in words}
-        new = list({p for own in parts.values() for p in own if p not in self.known})
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for word, ids in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False)):
-                self.known[word] = pack_ids(f"<{len(own)}I", *own) if (own := ids.ids) else b""
-        for word, own in parts.items():
-            if len(own) == 2:
-                self.known[word] = self.known[own[0]] + self.known[own[1]]
+        self.most = cache_bytes // 2
+        self.known = _Words(self._spelled, {})
+        # Precomposed letters of Latin-1 need no normalization but lower case, and then stand for their bytes.
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
+        self.letters = {ord(c): spelled.pre_tokenize_str(c.lower())[0][0] for c in letters}
+
+    def _spelled(self, word: bytes) -> bytes:
+        """Ids of one word; letters alone go straight to the model, which spares the text steps before it."""
+        text = word.decode("utf-8", "surrogatepass")
+        plain = _PLAIN.fullmatch(text)
+        if plain is None:
+            return _packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        letters, signs = plain.groups()
+        if signs:
+            return self.known[letters.encode()] + self.known[signs.encode()]
+        return _packed_ids([t.id for t in self.model.tokenize(letters if letters.isascii() else letters.translate(self.letters))])
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        known, found, missing = self.known, [], set()
+        found = []
         for text in texts:
             if text and any(s in text for s in self.special):
-                whole = self.tokenizer.encode(text, add_special_tokens=False).ids
-                found.append(([], [np.array(whole, "<u4").tobytes()]))
+                found.append(_packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids))
                 continue
             # Lower case of A-Z is what the vocabulary itself does first.
-            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-            own = list(map(known.get, words))
-            if None in own:
-                missing.update([w for w, i in zip(words, own) if i is None])
-            found.append((words, own))
-        self._learn(missing)
-        return [b"".join([known[w] if i is None else i for w, i in zip(words, own)] if None in own else own) for words, own in found]
+            words, parts = (text or "").encode("utf-8", "surrogatepass").lower().split(), []
+            for at in range(0, len(words), _WORDS):
+                parts += map(self.known.__getitem__, words[at:at + _WORDS])
+                if self.known.size > self.most:
+                    self.known = self.known.followed()
+            found.append(b"".join(parts))
+        return found
 
 
 @lru_cache(maxsize=1)
@@ -140,12 +176,12 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def _packed(items: DataFrame, item: str, shards: int, capacity: int) -> DataFrame:
-    """``item, bin, place``: shards packed apart; ``bin`` is ``[shard, number in it]`` in one long."""
+def _packed(items: DataFrame, item: str, shards: int, capacity: int, level: int) -> DataFrame:
+    """``item, bin, place``: shards packed apart; ``bin`` is ``[level, shard, number in it]`` in one long."""
 
     def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
         bins = sum_of_squares(rows["length"].to_numpy(), capacity)
-        rows = rows.assign(bin=(int(key[0]) << 32) + bins).sort_values(["bin", item])
+        rows = rows.assign(bin=(level << 56) + (int(key[0]) << 32) + bins).sort_values(["bin", item])
         rows["place"] = rows.groupby("bin")["length"].cumsum() - rows["length"]
         return rows[[item, "bin", "place"]]
 
@@ -158,24 +194,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_I
     """All columns of ``pieces``, ``sequence_id`` and ``offset``.
 
     ``length`` is 1 to ``capacity``. Within a sequence offsets have no gap. Rows
-    that repeat are packed each. An empty table gives no row.
+    that repeat are packed each. An empty table gives no row. Bins that a
+    round leaves open meet again as items of the next one, until all of them
+    fit one shard or a round has joined none.
     """
     rows = stage(sheltered_pieces(pieces), "pieces")
     n = rows.count()
     items = rows.select("item", F.col("row.length").cast("long").alias("length"))
-    level = stage(_packed(items, "item", max(1, -(-n // shard_items)), capacity), "packed")
-    placed = level.select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
-    if n > shard_items:
-        # Open bins of all shards meet again: few for each shard, and again in shards of bounded size.
-        sizes = level.join(items, "item").groupBy("bin").agg(F.sum("length").alias("length"))
+    packed = _packed(items, "item", max(1, -(-n // shard_items)), capacity, 0)
+    placed = stage(packed.select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset")), "packed")
+    met, level = n, 0
+    while met > shard_items:
+        level += 1
+        sizes = placed.join(items, "item").groupBy(F.col("sequence_id").alias("old")).agg(F.sum("length").alias("length"))
         loose = stage(sizes.filter(F.col("length") < capacity), "open")
         m = loose.count()
-        moved = stage(_packed(loose.withColumnRenamed("bin", "old"), "old", max(1, -(-m // shard_items)), capacity), "repacked")
-        moved = moved.select("old", (-F.col("bin") - 1).alias("new"), "place")
-        placed = placed.join(moved, placed.sequence_id == moved.old, "left").select(
-            "item", F.coalesce("new", "sequence_id").alias("sequence_id"),
+        if m < 2 or m >= met:
+            break
+        moved = stage(_packed(loose, "old", max(1, -(-m // shard_items)), capacity, level), "repacked")
+        placed = stage(placed.join(moved, placed.sequence_id == moved.old, "left").select(
+            "item", F.coalesce("bin", "sequence_id").alias("sequence_id"),
             (F.col("offset") + F.coalesce("place", F.lit(0))).alias("offset"),
-        )
+        ), "placed")
+        met = m
     return rows.join(placed, "item").select("row.*", "sequence_id", "offset")
 
 

@@ -267,6 +267,36 @@ def test_pieces_are_the_tokenizers_own(odd):
     gapless(packed, 2048)
 
 
+def test_remembered_words_change_no_ids():
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(8)
+    signs = list("abcdefgh") * 3 + list("ÀÉßœÿ×÷İſéñü'.,-!0189ΣЖ中") + ["'s", "e\u0301", "\u00a0", "\x1c", "\u2028"]
+    texts = [" ".join("".join(rng.choice(signs, rng.integers(1, 9))) for _ in range(60)) for _ in range(120)]
+    plain = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    # A memory of a few words turns over in every batch; a larger one meets its older half.
+    for most in (2_000, 100_000, packing.CACHE_BYTES):
+        encoder = packing._Encoder(vocabulary("word_bpe_49k.json"), most)
+        got = [ids for _ in range(2) for at in range(0, 120, 7) for ids in encoder.ids(texts[at:at + 7])]
+        assert got == want * 2
+        assert encoder.known.size <= most // 2
+
+
+def test_open_bins_meet_until_one_shard_is_left(spark):
+    rng = np.random.default_rng(6)
+    pieces = spark.createDataFrame([(int(x),) for x in rng.integers(30, 101, 2000)], "length long")
+    packed = packing.pack(pieces, 100, shard_items=40).collect()
+    assert len(packed) == 2000
+    gapless(packed, 100)
+    sizes = Counter()
+    for r in packed:
+        sizes[r.sequence_id] += r.length
+    # Shards of 40 hard items lose some matches that one pass over all would find.
+    whole = packing.sum_of_squares(np.array([r.length for r in packed]), 100)
+    assert len(sizes) <= 1.05 * (whole.max() + 1) and len({s >> 56 for s in sizes}) > 2
+
+
 def gapless(packed, capacity):
     by = defaultdict(list)
     for r in packed:
@@ -380,6 +410,53 @@ def test_maximal_segments_equal_the_definition():
         assert max((s for *_, s in got), default=0) == pytest.approx(max((s for *_, s in best(0, 40)), default=0))
 
 
+def odds_by_brute_force(units, ratio):
+    """Numerators from the shortest prefix on, each prior what the longest scored prefix tells."""
+    from fractions import Fraction
+
+    told, out = {"": (Fraction(1, 2), Fraction(1, 2))}, {}
+    for unit, is_word, toxic, clean in sorted(units, key=lambda u: (u[1], len(u[0]), u[0])):
+        best = max((p for p in told if unit.startswith(p) and len(p) <= 8 and (is_word or p != unit)), key=len)
+        bad, good = toxic + 2 * told[best][0], clean * Fraction(ratio) + 2 * told[best][1]
+        out[unit, is_word] = float(np.log(float(bad)) - np.log(float(good)))
+        if not is_word and bad >= good * Fraction(np.e):
+            told[unit] = (bad / (bad + good), good / (bad + good))
+    return out
+
+
+@pytest.mark.parametrize("hot", [0, 5, 500, 5000, 10**9])
+def test_log_odds_by_brute_force(hot):
+    units = [("vilewordly"[:n], False, 40 + hot, 0) for n in range(3, 9)] + [("vilewordly", True, 30 + hot, 0), ("vileword", True, 10, 0)]
+    units += [("vim", False, 3, 50), ("vim", True, 1, 50), ("other", True, 8, 2), ("oth", False, 9, 3), ("a", True, 20, 1)]
+    words, stems = toxicity._log_odds(units, 0.5)
+    want = odds_by_brute_force(units, 0.5)
+    for unit, is_word, *_ in units:
+        got = (words if is_word else stems).get(unit, 0.0)
+        odds = want[unit, is_word]
+        assert got == pytest.approx(odds if odds >= toxicity.LEAST_ODDS else 0.0, rel=1e-9)
+        assert np.isfinite(got)
+
+
+def test_scale_solves_its_equation():
+    counts, total = Counter({0.5: 40, 2.0: 9, 4.5: 1}), 5000
+    x = toxicity._solved_scale(counts, total)
+    tokens = [s for s, n in counts.items() for _ in range(n)] + [max(counts)] + [-toxicity.DRIFT] * (total + 1 - 50)
+    assert np.mean(np.exp(x * np.array(tokens))) == pytest.approx(1, abs=1e-6)
+
+
+def test_toxicity_of_hot_stems_and_of_one_class(spark):
+    fill = "the river ran past quiet houses and old trees by the mill".split()
+    rng = np.random.default_rng(12)
+    docs = [(i, " ".join([*rng.choice(fill, 20), str(i), "scumbags" if i % 2 else "kindness", f"w{i}", *rng.choice(fill, 9)])) for i in range(3000)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    both = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, toxic int")
+    told = toxicity.score(d, toxicity.learn(d, both)).select("row.doc_id", "score").collect()
+    assert all((r.score >= toxicity.LIMIT) == (r.doc_id % 2 == 1) for r in told)
+    for one in (0, 1):
+        scores = {r.score for r in toxicity.score(d, toxicity.learn(d, both.withColumn("toxic", F.lit(one)))).collect()}
+        assert all(0 <= s <= 1 for s in scores) and all(s < toxicity.LIMIT for s in scores)
+
+
 def test_toxic_passages_are_found(spark, odd, none):
     rng = np.random.default_rng(7)
     plain, bad = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)], ["vilea", "vileb", "vilec", "viled"]
