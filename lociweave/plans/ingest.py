@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.operators import runs as run_ops
-from lociweave.operators.combine import Cohort, new_entries, shared_samples
-from lociweave.session import staged
+from lociweave.operators.combine import Cohort, duplicate_loci, filter_records, new_entries, shared_samples, variant_records
+from lociweave.session import replacing, staged
 from lociweave.sources import tables
 from lociweave.sources.vcf import good_records, sample_of
 from lociweave.streaming.file_ingest import file_status, ingest_new_files, staged_records
@@ -41,6 +41,10 @@ class IngestFolders:
     def temp(self) -> str:
         return f"{self.root}/temp"
 
+    @property
+    def duplicates(self) -> str:
+        return f"{self.root}/duplicate_records"
+
     @property
     def log(self) -> str:
         return f"{self.root}/run_log"
@@ -134,6 +138,8 @@ def _merge(spark: SparkSession, folders: IngestFolders, run_id: str, files: Data
         stage=lambda df, name: staged(df, f"{folders.temp}/{run_id}/{name}"),
     )
     tables.write_cohort_run(added, folders.cohort, run_id)
+    # Records that a better one of the same sample and locus stood for: one row per sample that has some.
+    replacing(duplicate_loci(variant_records(filter_records(records)))).parquet(f"{folders.duplicates}/run_id={run_id}")
     n_samples = tables.sample_count(tables.read_cohort(spark, folders.cohort, [*earlier, run_id]))
     _complete(spark, folders, run_id, earlier, n_samples)
     tables.compact_sites(spark, folders.cohort, [*earlier, run_id])

@@ -209,3 +209,23 @@ def test_a_number_is_refused_twice(spark, folder):
     tables.publish_run_event(spark, folder, lambda *_: {"run_id": "r2", "status": R.CLAIMED})
     events, _ = tables.read_run_log(spark, folder)
     assert [(r.run_id, r.seq) for r in events.orderBy("seq").collect()] == [("r1", 1), ("r2", 2)]
+
+
+def test_records_left_out_are_reported(spark, folder, rows):
+    write_gvcf(f"{folder}/a", "a0", [line("chr1", 100, "A", "C,<NON_REF>", "0/1", gq=g) for g in (5, 30, 9)] + [line("chr2", 1, "A", "C,<NON_REF>", "0/1")])
+    write_gvcf(f"{folder}/a", "a1", [line("chr1", 100, "A", "C,<NON_REF>", "0/1")])
+    run = ingest(spark, f"{folder}/a", f"{folder}/cohort", "2026-03-11")
+    told = spark.read.parquet(f"{IngestFolders(f'{folder}/cohort').duplicates}/run_id={run}")
+    assert rows(told) == [("a0", 2)]
+    assert latest_cohort(spark, IngestFolders(f"{folder}/cohort")).calls.filter("sample_id = 'a0' and pos = 100").first().gq == 30
+
+
+def test_library_stands_without_the_training_data_packages():
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; "
+        "q, o = e.queries(), e.oracle_sql(); assert len(q) > 60 and set(o) <= set(q) and not any(k.startswith('op') for k in q)"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
