@@ -131,7 +131,7 @@ def _links(classes: DataFrame, threshold: float, passes: int | None, window: int
         order = ["group", "key", "cls"]
         sorted_rows = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         sorted_rows = sorted_rows.select(F.spark_partition_id().cast("long").alias("part"), "cls", "group", "embedding")
-        out = "side long, part long, a long, b long, group long, embedding array<float>"
+        out = f"side long, part long, a long, b long, group long, embedding {classes.schema['embedding'].dataType.simpleString()}"
         got = stage(sorted_rows.mapInPandas(_compare(threshold, window), out), "pass")
         border = got.filter("side < 2").withColumn("border", F.col("part") + F.when(F.col("side") == 0, 1).otherwise(0))
 
@@ -187,9 +187,13 @@ def near_duplicates(
     holds a null or non-finite component links with nothing, and is a component of its
     own. Rows that repeat an id each count as a vector. An empty table gives no row.
     ``passes`` follow the largest label (``passes_for``) where none are given.
+    Single-precision components are carried as they are, all others in double
+    precision; cosines are computed in double precision.
     """
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
     rows = sheltered(vectors).select(
-        F.col("row.vec_id").alias("vec_id"), F.col("row.label").alias("label"), F.col("row.embedding").cast("array<float>").alias("embedding")
+        F.col("row.vec_id").alias("vec_id"), F.col("row.label").alias("label"), F.col("row.embedding").cast(kind).alias("embedding")
     )
     limit = F.lit(float("inf"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit)) & F.exists("embedding", lambda x: x != 0)

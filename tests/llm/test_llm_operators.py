@@ -346,6 +346,20 @@ def test_packing_nothing(none):
 
 # Embeddings
 
+def test_double_vectors_keep_their_precision(spark):
+    close = np.cos(np.arccos(0.93) + np.array([-1e-9, 1e-9]))
+    rows = [(1, [1e39, 0.0], 0), (2, [2e39, 0.0], 0), (3, [1e-50, 0.0], 0), (4, [5.0, 0.0], 0), (5, [0.0, -3e200], 0)]
+    # Two that single precision cannot tell from the threshold: one just within it, one just beyond.
+    rows += [(6, [1.0, 0.0], 1), (7, [float(close[0]), float(np.sqrt(1 - close[0] ** 2))], 1)]
+    rows += [(8, [1.0, 0.0], 2), (9, [float(close[1]), float(np.sqrt(1 - close[1] ** 2))], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {
+        1: (3, 1, True), 2: (3, 1, False), 3: (3, 1, False), 4: (3, 1, False), 5: (0, 5, True),
+        6: (1, 6, True), 7: (1, 6, False), 8: (0, 8, True), 9: (0, 9, True),
+    }
+
+
 def test_vectors_link_as_all_pairs_do(spark):
     rng = np.random.default_rng(5)
     rows, at = [], 0
