@@ -184,6 +184,15 @@ from fx_sites s left join v using (site_id)""",
 select s.contig, s.pos, concat_ws(',', s.ref, s.alt, s.alt2) as alleles, f.af as gnomad_af, f.af_nfe as gnomad_nonfin
 from fx_sites s left join fx_gnomad f
   on f.contig = s.contig and f.pos = s.pos and f.ref = s.ref and f.alt = s.alt and s.alt2 is null""",
+    "clinical_scan": """
+select contig, pos, ref, a.alt, concat(clnsig, ',_low') as clnsig, clnrevstat
+from fx_clinvar, (select unnest([0, 1]) as nth) n, lateral (select case nth when 0 then fx_clinvar.alt else 'TTTT' end as alt) a
+where contig <> 'MT' or pos <= 16569""",
+    "score_scan": "select contig, pos, ref, alt, cadd_phred, cadd_raw from fx_cadd where contig <> 'MT' or pos <= 16569",
+    "consequence_scan": """
+select contig, pos, ref, alt, split_part(consequence, '&', 1) as most_severe, case when has_tc then gene_symbol end as symbol,
+  case when has_tc then consequence end as terms from fx_vep
+where contig <> 'MT' or pos <= 16569""",
     "join_clinical": """
 select s.contig, s.pos, s.ref, s.alt, k.clnsig, k.clnrevstat from fx_sites s
 left join fx_clinvar k on k.contig = s.contig and k.pos = s.pos and k.ref = s.ref and k.alt = s.alt""",

@@ -16,7 +16,7 @@ from lociweave.functions.variants import first_double, variant_id
 from lociweave.genome import contig_index, rename_contig
 from lociweave.operators import annotate, blocks, callstats, combine, documents, genes, lookup, metadata, report, runs
 from lociweave.operators.densify import dense_entries
-from lociweave.sources import vcf
+from lociweave.sources import keyed, vcf
 
 from conformance.shapes import Given
 
@@ -65,6 +65,35 @@ def sites_scan(g: Given) -> DataFrame:
     )
 
 
+@query
+def clinical_scan(g: Given) -> DataFrame:
+    """Every clinical row as a line of a sites file, its values with commas in them."""
+    lines = g.sql(
+        "select concat_ws('\t', concat('chr', contig), cast(pos as string), '.', ref, concat_ws(',', alt, 'TTTT'), '.', '.', "
+        "concat_ws(';', concat('CLNSIG=', clnsig, ',_low'), concat('CLNREVSTAT=', clnrevstat))) as value from fx_clinvar"
+    )
+    return keyed.clinical_rows(vcf.parse_sites(lines, ["CLNSIG", "CLNREVSTAT"], skip_invalid_loci=False))
+
+
+@query
+def score_scan(g: Given) -> DataFrame:
+    """Every score as a line of a score file."""
+    lines = g.sql("select concat_ws('\t', contig, cast(pos as string), ref, alt, 'SNV', cast(cadd_raw as string), cast(cadd_phred as string)) as value from fx_cadd")
+    return keyed.score_rows(lines, "#Chrom\tPos\tRef\tAlt\tType\tRawScore\tPHRED")
+
+
+@query
+def consequence_scan(g: Given) -> DataFrame:
+    """Every consequence record as the JSON line of its variant, decoded again."""
+    given = F.concat_ws(" ", "contig", "pos", F.lit("."), "ref", "alt", F.lit("."))
+    lines = g.consequences.select(F.to_json(F.col("vep").withField("input", given)).alias("value"))
+    transcript = F.get("vep.transcript_consequences", F.lit(0))
+    return keyed.consequence_rows(lines).select(
+        "contig", "pos", "ref", "alt", F.col("vep.most_severe_consequence").alias("most_severe"),
+        transcript["gene_symbol"].alias("symbol"), _text(transcript["consequence_terms"], "&").alias("terms"),
+    )
+
+
 @query
 def docs_filters(g: Given) -> DataFrame:
     """Filters that the variants carry reach the documents as a set."""

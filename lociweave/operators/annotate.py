@@ -59,9 +59,10 @@ def join_frequency(variants: DataFrame, frequency: DataFrame, unique: bool = Fal
     The allele list is a residual condition beside the shared key: a site
     with more alleles than the frequency row misses. It is written as two
     bounds, since an equality would become a fifth key and exchange the
-    variants again.
+    variants again. A frequency table stored by variant key keeps its own ``ref, alt``.
     """
-    right = with_variant_key(unique_rows(frequency, ["contig", "pos", "alleles"], unique))
+    right = unique_rows(frequency, ["contig", "pos", "alleles"], unique)
+    right = right if {"ref", "alt"} <= set(right.columns) else with_variant_key(right)
     right = right.select(
         *VARIANT_KEY, F.col("alleles").alias("_alleles"),
         F.col("af").alias("gnomad_af"), F.col("af_nfe").alias("gnomad_nonfin"),
@@ -116,7 +117,7 @@ def annotate_variants(
     """``variants`` (sites with statistics) plus flat ``vep``, ``gnomad_af``, ``gnomad_nonfin``.
 
     ``unique`` says that the four tables hold one row per key, as
-    :func:`lociweave.sources.tables.materialize_once` leaves them.
+    :func:`lociweave.sources.keyed.write_keyed` leaves them.
     """
     joined = join_consequence(with_variant_key(variants), consequences, unique)
     joined = join_clinical(joined, clinical, unique)

@@ -24,6 +24,12 @@ CONSEQUENCE = (
     "fields:struct<CLNSIG:string,CLNREVSTAT:string>>>>>"
 )
 
+# Annotation tables by variant key.
+CLINICAL = "contig string, pos int, ref string, alt string, clnsig string, clnrevstat string"
+SCORES = "contig string, pos int, ref string, alt string, cadd_phred double, cadd_raw double"
+CONSEQUENCES = f"contig string, pos int, ref string, alt string, vep {CONSEQUENCE}"
+FREQUENCY = "contig string, pos int, ref string, alt string, alleles array<string>, af double, af_nfe double"
+
 # Run log: one row per event, the last event of a run is its state.
 RUN_EVENTS = (
     "run_id string, seq long, status string, cohort_path string, temp_path string, "
