@@ -8,6 +8,7 @@ documents; the posterior probability of being good decides. There are at most
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,21 +20,29 @@ from lociweave.llm.common import WORD, sheltered, stage
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 WINDOW_WORDS = 8
+STRETCH_WORDS = 100
 SPACE = "\x20\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 LEAST_POSTERIOR = 0.5
-ROUNDS = 12
-
-#: Name, good vote, bad vote; a document for which neither holds is abstained on.
+VOTES = (1, 0, -1)
+#: Documents' worth of belief in each rule before any is seen, by vote: right, abstaining, wrong.
+BELIEF = (4.0, 1.0, 1.0)
+#: The fit ends when no expected count moves by more than this part of the documents.
+STILL = 1e-6
+MOST_ROUNDS = 1000
+
+#: Name, good vote, bad vote; a document for which neither holds is abstained on. The limits
+#: are close, so that a rule is wrong at times; how often, the fit finds out.
 RULES: list[tuple[str, str, str]] = [
-    ("symbols", "n_symbols <= 0.01 * n_words", "n_symbols > 0.1 * n_words"),
-    ("plain", "n_plain >= 0.9 * n_words", "n_plain < 0.7 * n_words"),
-    ("lettered", "n_lettered >= 0.97 * n_words", "n_lettered < 0.8 * n_words"),
-    ("word_length", "word_chars between 3.5 * n_words and 7.5 * n_words", "word_chars < 2.5 * n_words or word_chars > 11 * n_words"),
-    ("endings", "n_ended >= 0.8 * n_lines", "n_ended < 0.4 * n_lines"),
-    ("lines", "n_dup_lines = 0", "n_dup_lines >= 3 and n_dup_lines > 0.3 * n_lines"),
+    ("symbols", "n_symbols = 0", "n_symbols > 0.02 * n_words"),
+    ("plain", "n_plain >= 0.95 * n_words", "n_plain < 0.85 * n_words"),
+    ("lettered", "n_lettered >= 0.99 * n_words", "n_lettered < 0.93 * n_words"),
+    ("word_length", "word_chars between 4 * n_words and 7 * n_words", "word_chars < 3.5 * n_words or word_chars > 8 * n_words"),
+    ("endings", "n_ended >= 0.8 * n_lines", "n_ended < 0.5 * n_lines"),
+    ("lines", "n_dup_lines = 0", "n_dup_lines > 0.1 * n_lines"),
     ("repeats", "n_repeat_words <= 0.1 * n_words", "n_repeat_words > 0.25 * n_words"),
-    ("variety", "n_distinct >= 0.35 * n_words or n_words > 1000", "n_distinct < 0.15 * n_words and n_words <= 1000"),
+    ("variety", "n_fresh >= 0.5 * n_words", "n_fresh < 0.3 * n_words"),
+    ("length", "n_words >= 50", "n_words < 30"),
 ]
 
 
@@ -56,7 +65,11 @@ def base_features(docs: DataFrame) -> DataFrame:
         "n_words": F.size("words").cast("long"),
         "n_lines": F.size("lines").cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "n_distinct": F.size(F.array_distinct("words")).cast("long"),
+        # Different words within each stretch, added up: alike for texts of any length.
+        "n_fresh": F.aggregate(
+            F.sequence(F.lit(0), F.floor((F.size("words") - 1) / STRETCH_WORDS).cast("int")), F.lit(0).cast("long"),
+            lambda total, i: total + F.size(F.array_distinct(F.slice("words", i * STRETCH_WORDS + 1, STRETCH_WORDS))),
+        ),
         "n_ended": F.size(F.filter("lines", lambda x: x.rlike(r"[.!?…:;\"”’»)][\x20\x09-\x0D]*$"))).cast("long"),
         "n_plain": F.size(F.filter("words", lambda w: w.rlike(r"^[\"'“«(]*[\p{L}\p{M}'’-]+[.,;:!?…\"'”»)]*$"))).cast("long"),
         "n_lettered": F.size(F.filter("words", lambda w: w.rlike(r"\p{L}"))).cast("long"),
@@ -65,7 +78,7 @@ def base_features(docs: DataFrame) -> DataFrame:
             F.transform(F.sequence(F.lit(1), F.size("words") - WINDOW_WORDS + 1), lambda i: F.xxhash64(F.slice("words", i, WINDOW_WORDS))),
         ),
     })
-    counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_distinct", "n_lettered", "n_plain", "n_ended"]
+    counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_fresh", "n_lettered", "n_plain", "n_ended"]
     rows = rows.select("doc_id", *counts, "words", F.coalesce(F.size(F.array_distinct("windows")) < F.size("windows"), F.lit(False)).alias("again"))
     spelled = F.transform(
         F.sequence(F.lit(1), F.size("words") - WINDOW_WORDS + 1),
@@ -97,52 +110,63 @@ def votes(features: DataFrame) -> DataFrame:
     })
 
 
-def _posterior(share: Column, rates: list[dict[tuple[int, int], Column]], names: list[str]) -> Column:
-    """Probability of good given the votes, for vote rates by (class, vote)."""
+#: A rule's vote rates by class: ``rates["good"][vote]``.
+Rates = dict[str, dict[int, float]]
+
+
+def _posterior(share: float, rates: dict[str, Rates]) -> Column:
+    """Probability of good given the votes of the rules that ``rates`` names."""
 
-    def log_likelihood(y: int) -> Column:
-        terms = [
-            F.when(F.col(n) == 1, F.log(r[y, 1])).when(F.col(n) == -1, F.log(r[y, -1])).otherwise(F.log(r[y, 0]))
-            for n, r in zip(names, rates)
-        ]
-        return reduce(lambda a, b: a + b, terms)
+    def log_odds(name: str, rate: Rates) -> Column:
+        told = {v: F.lit(math.log(rate["good"][v]) - math.log(rate["bad"][v])) for v in VOTES}
+        return F.when(F.col(name) == 1, told[1]).when(F.col(name) == -1, told[-1]).otherwise(told[0])
 
-    return 1 / (1 + F.exp(F.log(1 - share) + log_likelihood(0) - F.log(share) - log_likelihood(1)))
+    odds = F.lit(math.log(share) - math.log(1 - share))
+    return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, [log_odds(n, r) for n, r in rates.items()], odds)))
 
 
-def posterior_quality(voted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Adds ``posterior`` to voted rows.
+def fit_votes(patterns: DataFrame, names: list[str]) -> tuple[float, dict[str, Rates]]:
+    """Share of good documents, and how often each rule casts each vote on good and on bad ones.
 
-    Starts from the mean vote. Each round re-estimates the share of good
-    documents and each rule's vote rates in both classes, with one further
-    document for each kind of vote; a rule's good vote never counts as a sign of
-    badness, nor its bad vote as one of goodness, so the classes keep their
-    meaning. Ends with the posterior of the last round. An empty table gives none.
+    ``patterns`` counts the documents ``n`` of each combination of votes. The
+    start is each combination's majority; no rule is held to be right, and
+    one that is wrong often is outweighed. Abstaining is a vote with rates of its
+    own. Each round brings back three pairs of sums for each rule. Of the two
+    classes the good one is that with more good votes for bad ones. Without documents
+    the belief alone stays.
     """
-    names = [f"vote_{name}" for name, _, _ in RULES]
+    one_of = [F.struct(F.lit(n).alias("rule"), F.col(n).alias("vote")) for n in names]
+    cast = [reduce(lambda a, b: a + b, [(F.col(n) == v).cast("int") for n in names]) for v in (1, -1)]
+    p, before, share, rates = (cast[0] + 1) / (cast[0] + cast[1] + 2), None, 0.5, {}
+    for _ in range(MOST_ROUNDS):
+        each = patterns.select("n", (F.col("n") * p).alias("good"), F.inline(F.array(*one_of)))
+        sums = each.groupBy("rule", "vote").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+        found = {(r.rule, r.vote): (r.good, r.n - r.good) for r in sums.collect()}
+        told = {n: [found.get((n, v), (0.0, 0.0)) for v in VOTES] for n in names}
+        n_good, n_bad = (sum(pair[y] for pair in told[names[0]]) for y in (0, 1))
+        share = (n_good + 1) / (n_good + n_bad + 2)
+        rates = {
+            n: {
+                "good": {v: (pair[0] + more) / (n_good + sum(BELIEF)) for v, pair, more in zip(VOTES, pairs, BELIEF)},
+                "bad": {v: (pair[1] + more) / (n_bad + sum(BELIEF)) for v, pair, more in zip(VOTES, pairs, BELIEF[::-1])},
+            }
+            for n, pairs in told.items()
+        }
+        now = [pair[0] for pairs in told.values() for pair in pairs]
+        if before and max(abs(a - b) for a, b in zip(now, before)) <= STILL * (n_good + n_bad):
+            break
+        p, before = _posterior(share, rates), now
+    lean = {y: sum(r[y][1] - r[y][-1] for r in rates.values()) for y in ("good", "bad")}
+    if lean["good"] < lean["bad"]:
+        return 1 - share, {n: {"good": r["bad"], "bad": r["good"]} for n, r in rates.items()}
+    return share, rates
+
+
+def posterior_quality(voted: DataFrame) -> DataFrame:
+    """Adds ``posterior`` to rows with a column ``vote_<rule>`` for each rule. An empty table gives none."""
+    names = [c for c in voted.columns if c.startswith("vote_")]
     patterns = stage(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "patterns")
-    p = F.greatest(F.lit(0.02), F.least(F.lit(0.98), 0.5 + reduce(lambda a, b: a + b, [F.col(n) for n in names]) / (2.0 * len(names))))
-    # A bad vote is rarer and weighs more at the start.
-    any_bad = reduce(lambda a, b: a | b, [F.col(n) < 0 for n in names])
-    p = F.when(any_bad, F.least(p, F.lit(0.3))).otherwise(p)
-    for _ in range(rounds):
-        shared = patterns.select(*names, (F.col("n") * p).alias("good"), "n")
-        each = shared.select(
-            "n", "good", F.inline(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(name).alias("vote")) for k, name in enumerate(names)]))
-        )
-        sums = each.groupBy("rule", "vote").agg(F.sum("good").alias("good"), F.sum(F.col("n") - F.col("good")).alias("bad"))
-        # Three sums for each rule at most.
-        found = {(r.rule, r.vote): (r.good, r.bad) for r in sums.collect()}
-        n_good, n_bad = (sum(found.get((0, v), (0.0, 0.0))[y] for v in (1, 0, -1)) for y in (0, 1))
-        rates = []
-        for k in range(len(names)):
-            g, b = ([(found.get((k, v), (0.0, 0.0))[y] + 1) / (total + 3) for v in (1, 0, -1)] for y, total in ((0, n_good), (1, n_bad)))
-            for j, better in ((0, True), (2, False)):
-                if (g[j] < b[j]) == better:
-                    g[j] = b[j] = (g[j] + b[j]) / 2
-            rates.append({(y, v): F.lit(x[j]) for y, x in ((1, g), (0, b)) for j, v in enumerate((1, 0, -1))})
-        p = _posterior(F.lit((n_good + 1) / (n_good + n_bad + 2)), rates, names)
-    return voted.withColumn("posterior", p)
+    return voted.withColumn("posterior", _posterior(*fit_votes(patterns, names)))
 
 
 def judge(docs: DataFrame, least_posterior: float = LEAST_POSTERIOR) -> DataFrame:

@@ -555,6 +555,56 @@ def test_junk_goes_and_prose_stays(spark):
     assert all(kept[i] for i, _ in prose) and not any(kept[i] for i, _ in junk)
 
 
+def plain_fit(votes, rounds=3000):
+    """Share and rates by expectation-maximisation over single documents."""
+    one_hot = np.stack([votes == v for v in (1, 0, -1)], axis=2).astype(float)
+    p = ((votes == 1).sum(1) + 1) / ((votes != 0).sum(1) + 2)
+    for _ in range(rounds):
+        good, bad = ((np.einsum("d,dkv->kv", w, one_hot) + more) / (w.sum() + 6) for w, more in ((p, [4, 1, 1]), (1 - p, [1, 1, 4])))
+        share = (p.sum() + 1) / (len(p) + 2)
+        odds = np.log(share / (1 - share)) + np.einsum("dkv,kv->d", one_hot, np.log(good) - np.log(bad))
+        p = 1 / (1 + np.exp(-odds))
+    return share, good, bad, p
+
+
+def test_rules_of_planted_accuracy_are_told_apart(spark):
+    rng = np.random.default_rng(5)
+    truth = rng.random(6000) < 0.7
+    right, silent = [0.95, 0.9, 0.9, 0.85, 0.8, 0.7, 0.55], [0, 0.1, 0.3, 0.2, 0.5, 0.05, 0]
+    said = np.where(rng.random((6000, 7)) < right, truth[:, None], ~truth[:, None])
+    votes = np.where(rng.random((6000, 7)) < silent, 0, np.where(said, 1, -1))
+    names = [f"vote_{k}" for k in range(7)]
+    voted = spark.createDataFrame([(i, bool(t), *map(int, v)) for i, (t, v) in enumerate(zip(truth, votes))],
+                                  f"doc_id long, truth boolean, {', '.join(f'{n} int' for n in names)}")
+    share, rates = quality.fit_votes(voted.groupBy(*names).agg(F.count("*").alias("n")), names)
+    want = plain_fit(votes)
+    assert abs(share - want[0]) < 1e-3 and abs(share - truth.mean()) < 0.02
+    for k, n in enumerate(names):
+        for y, told in (("good", want[1]), ("bad", want[2])):
+            assert np.allclose([rates[n][y][v] for v in (1, 0, -1)], told[k], atol=2e-3), (n, y)
+        assert abs(rates[n]["good"][1] / (1 - rates[n]["good"][0]) - right[k]) < 0.03
+    got = {r.doc_id: r for r in quality.posterior_quality(voted).collect()}
+    assert max(abs(got[i].posterior - want[3][i]) for i in range(6000)) < 0.01
+    wrong = sum((r.posterior >= 0.5) != r.truth for r in got.values())
+    majority = sum((v.sum() >= 0) != t for v, t in zip(votes, truth))
+    one_bad = [r.truth for r, v in zip(got.values(), votes) if (v == -1).sum() == 1 and v[5] == -1 and (v == 1).sum() >= 4]
+    assert wrong < 0.6 * majority and len(one_bad) > 200
+    assert all(got[i].posterior >= 0.5 for i, v in enumerate(votes) if v[5] == -1 and (np.delete(v, 5) == 1).all())
+
+
+def test_tables_of_one_kind_and_variety_of_long_texts(spark):
+    names = [f"vote_{n}" for n, _, _ in quality.RULES]
+    for vote, kept in ((1, True), (-1, False), (0, True)):
+        alike = spark.createDataFrame([(i, *[vote] * len(names)) for i in range(50)], f"doc_id long, {', '.join(f'{n} int' for n in names)}")
+        assert {r.posterior >= 0.5 for r in quality.posterior_quality(alike).collect()} == {kept}
+    fresh = lambda n: " ".join(f"w{i}" for i in range(n))
+    texts = [(n * 10 + k, text) for n in (99, 100, 101, 250, 5000) for k, text in ((0, fresh(n)), (1, " ".join(["a", "b"] * (n // 2))))]
+    for r in quality.votes(quality.base_features(spark.createDataFrame(texts, "doc_id long, text string"))).collect():
+        assert r.vote_variety == (1 if r.doc_id % 10 == 0 else -1), r
+        words = dict(texts)[r.doc_id].split()
+        assert r.n_fresh == sum(len(set(words[i:i + 100])) for i in range(0, len(words), 100))
+
+
 # Token counts
 
 @pytest.mark.parametrize("rule", ["start", "most"])
@@ -610,4 +660,4 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, tmp_path_factory):
 
 
 def test_every_query_has_a_name_of_its_number():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline"} == set(range(1, 14))
