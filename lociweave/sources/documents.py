@@ -59,30 +59,30 @@ def _parted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("part", F.shiftright("pos", SPAN_BITS))
 
 
-def _committed(spark: SparkSession, base: str) -> list[int]:
+def committed(spark: SparkSession, base: str) -> list[int]:
     """Numbers of the versions that count: one short line for each."""
     path = f"{base}/commits"
     return sorted(int(r.value) for r in spark.read.text(path).collect()) if path_exists(spark, path) else []
 
 
-def _live_parts(spark: SparkSession, base: str) -> DataFrame:
+def live_parts(spark: SparkSession, base: str) -> DataFrame:
     """``v, chrom, part``: one row per megabase of the genome at most."""
     parts = spark.read.schema("chrom string, part int, v int").parquet(f"{base}/parts")
-    done = parts.filter(F.col("v").isin(_committed(spark, base)))
+    done = parts.filter(F.col("v").isin(committed(spark, base)))
     return done.groupBy("chrom", "part").agg(F.max("v").alias("v"))
 
 
-def _stored_rows(spark: SparkSession, base: str) -> DataFrame:
+def stored_rows(spark: SparkSession, base: str) -> DataFrame:
     """Live rows with their ``part``; folders of older versions are pruned at run time."""
     rows = spark.read.schema(f"{VARIANT_DOCS}, part int, v int").parquet(f"{base}/rows")
-    return rows.join(F.broadcast(_live_parts(spark, base)), ["v", "chrom", "part"], "left_semi").drop("v")
+    return rows.join(F.broadcast(live_parts(spark, base)), ["v", "chrom", "part"], "left_semi").drop("v")
 
 
 def read_store(spark: SparkSession, base: str) -> DataFrame:
     """The documents of the latest version; empty where nothing was stored."""
-    if not _committed(spark, base):
+    if not committed(spark, base):
         return spark.createDataFrame([], VARIANT_DOCS).select(*DOC_COLUMNS)
-    return _stored_rows(spark, base).select(*DOC_COLUMNS)
+    return stored_rows(spark, base).select(*DOC_COLUMNS)
 
 
 def upsert_store(spark: SparkSession, base: str, incoming: DataFrame, order: str | None = None, attempts: int = 10) -> int:
@@ -99,11 +99,11 @@ def upsert_store(spark: SparkSession, base: str, incoming: DataFrame, order: str
     # Megabases that are written: bounded by the genome.
     touched = fresh.select("chrom", "part").distinct()
     for _ in range(attempts):
-        done = _committed(spark, base)
+        done = committed(spark, base)
         version = next_claim(spark, f"{base}/versions")
         rows = fresh
         if done:
-            stored = _stored_rows(spark, base).join(F.broadcast(touched), ["chrom", "part"], "left_semi")
+            stored = stored_rows(spark, base).join(F.broadcast(touched), ["chrom", "part"], "left_semi")
             rows = stored.join(fresh.select("variant_id"), "variant_id", "left_anti").unionByName(fresh)
         ordered = balanced(rows, "chrom", "part").sortWithinPartitions("chrom", "part", "pos")
         replacing(ordered).partitionBy("chrom", "part").parquet(f"{base}/rows/v={version}")

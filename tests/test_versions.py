@@ -48,7 +48,7 @@ def test_untouched_folders_are_pruned_and_nothing_current_is_exchanged(spark, fo
     base = f"{folder}/store"
     D.upsert_store(spark, base, docs_of(spark, [(str(c), p << 20, 1, 0) for c in range(1, 6) for p in range(4)]))
     D.upsert_store(spark, base, docs_of(spark, [("1", 0, 2, 0)]))
-    stored = D._stored_rows(spark, base)
+    stored = D.stored_rows(spark, base)
     text = stored._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in text and "Exchange hashpartitioning(v" not in text
     touched = spark.createDataFrame([("1", 0)], "chrom string, part int")
