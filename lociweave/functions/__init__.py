@@ -1 +1 @@
-"""Column expressions; everything here stays JVM-side except ``hardy``."""
+"""Column expressions; everything here stays JVM-side."""

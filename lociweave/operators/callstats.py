@@ -167,8 +167,8 @@ def variant_quality(
 
     One pass over the calls and one over the blocks. Moments run over all
     entries present: explicit ones (no-calls included, they carry dp and gq)
-    and covering blocks. Without ``exact_test`` the p-values, the one part
-    that leaves the JVM, are left out.
+    and covering blocks. Without ``exact_test`` the p-values, whose work grows
+    with the rare alleles of a site, are left out.
     """
     pieces = clip_to_bins(blocks) if blocks_disjoint else carve_blocks(blocks, calls)
     covered = block_summary_at_sites(sites, pieces)

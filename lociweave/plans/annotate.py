@@ -91,7 +91,7 @@ def annotate(
     ``quality`` stores the whole ``variant_qc``; without it only the fields
     the documents read are computed, which skips the dp / gq summaries.
     ``unique`` says that the four tables hold one row per key, which spares
-    sorting them; ``exact_test`` false leaves out the exact test, the only step in Python.
+    sorting them; ``exact_test`` false leaves out the exact test.
 
     Blocks of a stored cohort are disjoint from its calls, so the statistics
     need no sample-level join. Counts are taken from the written tables.

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociweave.functions.genotypes import call_text, local_to_global, parse_call
-from lociweave.functions.hardy import exact_mid_p
+from lociweave.functions.hardy import hwe_p_values
 from lociweave.operators.callstats import call_statistics, hardy_weinberg, variant_quality
 from lociweave.operators.densify import dense_entries
 from lociweave.schemas import CALLS, LOCAL_CALL, REF_BLOCKS
@@ -123,15 +123,37 @@ def direct_mid_p(hom_ref, het, hom_var):
         ways[h] = comb(n, hv) * comb(n - hv, h) * 2**h
     total = sum(ways.values())
     seen = ways[het]
-    two = sum(w for w in ways.values() if w < seen) + 0.5 * sum(w for w in ways.values() if w == seen)
-    more = sum(w for h, w in ways.items() if h > het) + 0.5 * seen
-    return two / total, more / total
+    two = sum(2 * w if w < seen else w if w == seen else 0 for w in ways.values())
+    more = sum(2 * w for h, w in ways.items() if h > het) + seen
+    return two / (2 * total), more / (2 * total)
 
 
-@pytest.mark.parametrize("triple", [(10, 0, 0), (0, 0, 10), (5, 5, 5), (1, 20, 1), (100, 3, 1), (0, 1, 0), (2, 1, 30)])
-def test_exact_p_values(triple):
-    log_fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 500)))])
-    assert np.allclose(exact_mid_p(*triple, log_fact), direct_mid_p(*triple), rtol=1e-9)
+TRIPLES = [
+    (10, 0, 0), (0, 0, 10), (5, 5, 5), (1, 20, 1), (100, 3, 1), (0, 1, 0), (2, 1, 30), (1, 0, 1), (0, 2, 0), (3, 3, 0),
+    (900, 180, 9), (400, 200, 400), (0, 1000, 0), (250, 500, 250), (600, 600, 0), (1500, 3, 40), (0, 500, 300), (700, 0, 300),
+]
+
+
+def test_exact_p_values(spark):
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(TRIPLES)], "i int, a long, b long, c long")
+    solved = df.withColumn("p", hwe_p_values(F.col("a"), F.col("b"), F.col("c")))
+    got = [tuple(r.p) for r in solved.orderBy("i").collect()]
+    assert np.allclose(got, [direct_mid_p(*t) for t in TRIPLES], rtol=1e-9, atol=1e-290)
+
+
+def test_exact_p_values_of_none_and_of_sums_beyond_a_double(spark):
+    given = [(None, 1, 1), (0, 0, 0), (20_000, 0, 20_000), (0, 40_000, 0), (12_500, 25_000, 12_500)]
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(given)], "i int, a long, b long, c long")
+    got = [r.p for r in df.withColumn("p", hwe_p_values(F.col("a"), F.col("b"), F.col("c"))).orderBy("i").collect()]
+    assert got[:2] == [None, None]
+    # No heterozygote, and nothing but heterozygotes, of 40,000 samples with equal alleles; then what is expected.
+    assert tuple(got[2]) == (0.0, 1.0) and max(got[3]) == 0.0
+    assert np.allclose(tuple(got[4]), (1.0, 0.5), atol=0.01)
+
+
+def test_exact_test_stays_in_the_jvm(spark, cohort):
+    plan = variant_quality(*cohort)._jdf.queryExecution().executedPlan().toString()
+    assert "p_value_hwe" in plan and "Python" not in plan
 
 
 def test_hardy_weinberg(spark, cohort):
