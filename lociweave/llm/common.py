@@ -57,6 +57,11 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+def rest_key(docs: DataFrame) -> Column:
+    """64-bit key of all columns of ``row`` but the text, whatever their types; tells apart rows of one id and text."""
+    return F.xxhash64(F.to_json(F.struct(F.lit(0).alias("_"), *[F.col("row")[c].alias(c) for c in docs.columns if c != "text"])))
+
+
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """One star step on edges ``u > v``: what hangs together hangs on a smaller node afterwards."""
     seen = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else pairs

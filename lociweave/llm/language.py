@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,8 +22,11 @@ TOP = 300
 MAX_N = 3
 #: Rows a profile learns from, for each language; the rest of the labelled rows is left out.
 LEARN_ROWS = 4096
-#: Documents whose best profile fits worse than this are no prose of any learned language.
-LEAST_SCORE = 0.02
+#: A text is in no learned language if it fits its best profile worse than this share of what all but
+#: ``LOW`` of the learned rows of the language and of about its length reach.
+LOW, SHARE = 0.002, 0.6
+#: Lengths are told apart by powers of two between these, in characters.
+SHORTEST, LONGEST = 6, 14
 UNKNOWN = "und"
 _PART = 1 << 20
 
@@ -72,18 +75,24 @@ def _top(grams: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
     return grams[np.lexsort((grams, -counts))[:top]]
 
 
-def learn_profiles(docs: DataFrame, top: int = TOP, learn_rows: int = LEARN_ROWS) -> DataFrame:
-    """``lang, gram, place``: each language's ``top`` n-grams, from about ``learn_rows`` of its rows.
+def learning_rows(docs: DataFrame, learn_rows: int = LEARN_ROWS) -> DataFrame:
+    """``lang, text`` of about ``learn_rows`` rows of each language, chosen by a hash of the id.
 
-    ``docs`` has ``doc_id, text, lang``. Rows are chosen by a hash of the id;
-    null languages and null texts teach nothing.
+    ``docs`` has ``doc_id, text, lang``; null languages and null texts teach nothing.
     """
     given = sheltered(docs).select("row.doc_id", "row.text", "row.lang").filter("lang is not null and text is not null")
     share = given.groupBy("lang").agg(F.count("*").alias("n")).select("lang", (F.lit(float(learn_rows)) / F.col("n")).alias("share"))
     place = F.pmod(F.xxhash64(F.lit("learn"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     # One row for each language: as few as languages, and broadcast only if Spark measures it as small.
-    chosen = given.join(stage(share, "shares"), "lang").filter(place < F.col("share")).select("lang", "text")
+    return given.join(stage(share, "shares"), "lang").filter(place < F.col("share")).select("lang", "text")
+
+
+def learn_profiles(docs: DataFrame, top: int = TOP, learn_rows: int = LEARN_ROWS) -> DataFrame:
+    """``lang, gram, place``: each language's ``top`` n-grams, from :func:`learning_rows`."""
+    return _profiles(learning_rows(docs, learn_rows), top)
+
 
+def _profiles(chosen: DataFrame, top: int) -> DataFrame:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, own in batch.groupby("lang"):
@@ -143,8 +152,41 @@ def labelled_fold(docs: DataFrame) -> DataFrame:
     return docs.filter(fold(F.col("doc_id"), 4) != 2)
 
 
-def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents in a learned language; texts without letters, or far from every profile, go."""
-    profiles = stage(learn_profiles(labelled_fold(docs)), "profiles")
-    told = identify(docs, profiles)
-    return told.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
+def _length_class(text: str) -> Column:
+    return F.least(F.lit(LONGEST), F.greatest(F.lit(SHORTEST), F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))))).cast("int")
+
+
+def least_scores(chosen: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``lang, length_class, least``: the score that a text of a language and length must reach, for every class of every language.
+
+    A class takes the lowest of its own learned rows and of the classes beside
+    it; one without rows near takes the lowest of the language.
+    """
+    told = identify(chosen, profiles).filter("lang_pred = row.lang")
+    low = told.groupBy(F.col("row.lang").alias("lang"), _length_class("row.text").alias("length_class")).agg(
+        F.percentile("score", F.lit(LOW)).alias("low")
+    )
+    # A few rows for each language.
+    near = low.select("lang", "low", F.explode(F.array(*[F.col("length_class") + d for d in (-1, 0, 1)])).alias("length_class"))
+    near = near.groupBy("lang", "length_class").agg(F.min("low").alias("low"))
+    every = low.groupBy("lang").agg(F.min("low").alias("lowest")).withColumn(
+        "length_class", F.explode(F.sequence(F.lit(SHORTEST), F.lit(LONGEST)))
+    )
+    return every.join(near, ["lang", "length_class"], "left").select(
+        "lang", "length_class", (SHARE * F.coalesce("low", "lowest")).alias("least")
+    )
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The documents in a learned language, all columns kept.
+
+    Texts without letters go, and those that fit no profile as its learned
+    rows of their length do: other languages in the same letters, and
+    gibberish. Of texts of a few words it cannot be told, and they stay.
+    """
+    chosen = stage(learning_rows(labelled_fold(docs)), "learning")
+    profiles = stage(_profiles(chosen, TOP), "profiles")
+    least = stage(least_scores(chosen, profiles), "least")
+    told = identify(docs, profiles).filter(F.col("lang_pred") != UNKNOWN).withColumn("its_class", _length_class("row.text"))
+    good = (F.col("lang_pred") == F.col("lang")) & (F.col("its_class") == F.col("length_class")) & (F.col("score") >= F.col("least"))
+    return told.join(least, good, "left_semi").select("row.*")

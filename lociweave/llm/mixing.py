@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociweave.llm.common import WORD, sheltered, stage, text_key
+from lociweave.llm.common import WORD, rest_key, sheltered, stage, text_key
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
@@ -111,11 +111,16 @@ def slot_draws(planned: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = S
     drawn = spark.range(total).withColumn("u", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(1, total))))
     drawn = drawn.withColumn("cell", F.expr(f"u div {width}")).join(cells, "cell").filter("u >= low and u < high")
     drawn = drawn.select(F.expr(f"id div {shard_slots}").alias("shard"), F.col("id").alias("slot"), "rank")
-    # Multinomial counts of each shard, and their running sums over the shards.
-    counts = drawn.groupBy("shard", "rank").agg(F.count("*").alias("n"))
-    over = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("base", F.coalesce(F.sum("n").over(over), F.lit(0)))
-    base = stage(base, "counts")
+    # Multinomial counts of each shard, and their running sums over the shards: over runs of as many
+    # shards as there are runs first, so that no task gets all shards of a source.
+    run = max(1, isqrt(-(-total // shard_slots)))
+    counts = stage(drawn.groupBy("shard", "rank").agg(F.count("*").alias("n")).withColumn("run", F.expr(f"shard div {run}")), "draws")
+    over = Window.partitionBy("rank").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.groupBy("rank", "run").agg(F.sum("n").alias("of_run"))
+    runs = runs.select("rank", "run", F.coalesce(F.sum("of_run").over(over), F.lit(0)).alias("before"))
+    own = Window.partitionBy("rank", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.withColumn("inner", F.coalesce(F.sum("n").over(own), F.lit(0))).join(runs, ["rank", "run"])
+    base = stage(base.select("shard", "rank", "n", (F.col("before") + F.col("inner")).alias("base")), "counts")
     within = F.row_number().over(Window.partitionBy("shard", "rank").orderBy("slot")) - 1
     numbered = drawn.withColumn("within", within).join(base, ["shard", "rank"]).select(
         "shard", "slot", "rank", (F.col("base") + F.col("within")).alias("t")
@@ -157,9 +162,9 @@ def block_uses(planned: DataFrame, block_words: int, shard_slots: int, seed: int
 
 
 def placed_documents(sized: DataFrame) -> DataFrame:
-    """Adds ``first``, the number of words of the source before each row, to rows ``rank, doc_id, key, size``.
+    """Adds ``first``, the number of words of the source before each row, to rows ``rank, doc_id, key, rest, size``.
 
-    Rows stand in order of a hash bucket, id, key and size. Sums are taken in buckets
+    Rows stand in order of a hash bucket, id, key, size and rest. Sums are taken in buckets
     first, two for each root of the number of rows, so that neither a
     bucket nor the row of buckets of a source grows with a source.
     """
@@ -170,7 +175,7 @@ def placed_documents(sized: DataFrame) -> DataFrame:
     over = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("rank", "bucket", F.coalesce(F.sum("bucket_size").over(over), F.lit(0)).alias("base"))
     base = stage(base, "base")
-    own = Window.partitionBy("rank", "bucket").orderBy("doc_id", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("rank", "bucket").orderBy("doc_id", "key", "size", "rest").rowsBetween(Window.unboundedPreceding, -1)
     inner = dealt.withColumn("inner", F.coalesce(F.sum("size").over(own), F.lit(0)))
     return inner.join(base, ["rank", "bucket"]).withColumn("first", F.col("base") + F.col("inner")).drop("bucket", "base", "inner")
 
@@ -178,14 +183,14 @@ def placed_documents(sized: DataFrame) -> DataFrame:
 def mix_plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED):
     """``(rows, taken)``: the sized documents, and the stretches of them that the mix takes.
 
-    ``rows``: ``doc_id, key, source, size, source_size, target, rank, first``.
+    ``rows``: ``doc_id, key, rest, source, size, source_size, target, rank, first``; ``rest`` is a key of the other columns.
     ``taken``: ``rank, first, pass, start, n`` with ``start`` counted in words
     of the document. A document without words is taken nowhere; rows that
     repeat are taken each. ``docs`` may be empty, and sources null.
     """
     sized = stage(sheltered(docs).select(
         F.col("row.doc_id").alias("doc_id"), text_key(F.col("row.text")).alias("key"), F.col("row.source").alias("source"),
-        n_words(F.col("row.text")).alias("size"),
+        rest_key(docs).alias("rest"), n_words(F.col("row.text")).alias("size"),
     ), "sized")
     planned = stage(_plan_sources(source_targets(sized), block_words), "planned")
     about = planned.select(F.col("source").alias("its_source"), "rank", "source_size", "target", "n_blocks")
@@ -218,19 +223,20 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots
 
     Words keep the white space that follows them; ``n_chars``, where there is
     such a column, follows the text. A document taken in several passes has
-    several rows; one that is not taken has none.
+    several rows; one that is not taken has none. Rows that repeat id, text and
+    source keep their own other columns.
     """
     rows, taken = mix_plan(docs, block_words, shard_slots, seed)
     spans = taken.groupBy("rank", "first", "pass").agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("spans"))
     plan = spans.join(rows.filter("size > 0"), ["rank", "first"]).select(
-        F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), F.col("source").alias("its_source"), "spans", "size"
+        F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), F.col("rest").alias("its_rest"), "spans", "size"
     )
-    texts = sheltered(docs).withColumn("key", text_key(F.col("row.text")))
-    texts = texts.filter(F.col("row.text").rlike(WORD)).withColumns({"id": F.col("row.doc_id"), "source": F.col("row.source")})
-    # Rows of the plan are one for each repeat; their text is needed once.
-    once = texts.dropDuplicates(["id", "key", "source"])
+    texts = sheltered(docs).filter(F.col("row.text").rlike(WORD))
+    texts = texts.withColumns({"id": F.col("row.doc_id"), "key": text_key(F.col("row.text")), "rest": rest_key(docs)})
+    # Rows of the plan are one for each repeat; of rows equal in every column the text is needed once.
+    once = texts.dropDuplicates(["id", "key", "rest"])
     both = once.join(
-        plan, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")) & F.col("source").eqNullSafe(F.col("its_source"))
+        plan, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")) & (F.col("rest") == F.col("its_rest"))
     )
     tokens = both.withColumn("tokens", F.regexp_extract_all("row.text", F.lit(WORD + r"[\x20\x09-\x0D]*"), 0))
     text = F.array_join(

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociweave.llm.common import connected_components, sheltered, stage, text_key
+from lociweave.llm.common import connected_components, rest_key, sheltered, stage, text_key
 
 SEED = 42
 BITS = 64
@@ -160,7 +160,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int =
 def keep_one_each(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
     """The documents with one of each group left: smallest id first, null ids last, then smallest text key.
 
-    Of rows that repeat both id and text one stays. Columns are those of ``docs``.
+    Of rows that repeat both id and text the one with the smallest key of its other columns stays, whole. Columns are those of ``docs``.
     """
     found = near_duplicates(docs, shingle_words, max_distance)
     # An id may be null, or repeat within a group or in several: the smallest (id, text) of each group stays.
@@ -168,4 +168,5 @@ def keep_one_each(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2
     keep = stage(best.select("best.doc_id", "best.text_key"), "kept").alias("keep")
     rows = sheltered(docs).withColumns({"id": F.col("row.doc_id"), "key": text_key(F.col("row.text"))})
     kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep.doc_id")) & (F.col("key") == F.col("keep.text_key")), "left_semi")
-    return kept.dropDuplicates(["id", "key"]).select("row.*")
+    least = kept.withColumn("rest", rest_key(docs)).groupBy("id", "key").agg(F.min_by("row", "rest").alias("row"))
+    return least.select("row.*")

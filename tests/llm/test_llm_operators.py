@@ -190,6 +190,35 @@ def test_languages_of_odd_rows(odd, none):
     assert {r.lang_pred for r in language.identify(odd, none.selectExpr("lang", "doc_id gram", "doc_id place")).collect()} == {"und"}
 
 
+FINNISH = (
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on "
+    "toimittava toisiaan kohtaan veljeyden hengessä."
+)
+
+
+def test_unlearned_languages_and_gibberish_go_and_prose_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(3)
+    letters = list("qwxzjkvbpfghyucmlrtdnsaeio")
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(n)) for n in (30, 100, 1000)]
+    planted = [FINNISH, FINNISH * 20, *junk, "z" * 300, "12 34"]
+    rows = [(-1 - i, t, None, "planted", len(t)) for i, t in enumerate(planted)]
+    both = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").select(
+        *[F.col(c).cast(docs.schema[c].dataType) for c in docs.columns]))
+    kept = {r.doc_id for r in language.keep_identified(both).select("doc_id").collect()}
+    assert not {i for i in kept if i < 0}
+    lettered = {r.doc_id for r in docs.collect() if r.text and re.search(r"[^\W\d_]", r.text)}
+    assert kept == lettered
+
+
+def test_limits_of_lengths_without_rows(spark):
+    rows = spark.createDataFrame([(f"{w} the cat and the dog went to the house of the man", "en") for w in "abcdefgh"], "text string, lang string")
+    profiles = language._profiles(rows.select("lang", "text"), 300)
+    least = language.least_scores(rows, profiles).collect()
+    assert sorted(r.length_class for r in least) == list(range(language.SHORTEST, language.LONGEST + 1))
+    assert all(0 < r.least < 1 for r in least) and len({round(r.least, 6) for r in least}) == 1
+
+
 # Mixing
 
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
@@ -244,6 +273,24 @@ def test_mix_meets_targets_and_reruns_agree(spark):
     assert words == Counter({r.doc_id: r.taken for r in first if r.taken})
 
 
+def test_repeated_rows_keep_their_own_columns(spark):
+    rows = [(1, "one two three", "a", "en", "x1"), (1, "one two three", "a", "fr", "x2"), (1, "one two three", "a", "fr", "x2"), (1, "one two three", "a", None, "x3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, text_key string")
+    # One source takes all of its own size: each row once.
+    assert Counter(map(tuple, mixing.mixed_documents(df).collect())) == Counter(rows)
+    kept = {tuple(simhash.keep_one_each(df.repartition(n)).collect()[0]) for n in (1, 3)}
+    assert len(kept) == 1 and kept <= set(rows)
+
+
+def test_running_numbers_of_a_source_have_no_gap(spark):
+    planned = mixing._plan_sources(mixing.source_targets(spark.createDataFrame([("a", 9000), ("b", 20_000), ("c", 100)], "source string, size long")), 4)
+    slots = {r["rank"]: r.n_slots for r in planned.collect()}
+    got = {}
+    for r in mixing.slot_draws(planned, shard_slots=16).collect():
+        got.setdefault(r["rank"], []).append(r.t)
+    assert {k: sorted(v) for k, v in got.items()} == {k: list(range(n)) for k, n in slots.items() if n}
+
+
 def test_mix_of_odd_rows(odd, none):
     assert mixing.taken_words(none).count() == 0 and mixing.mixed_documents(none).count() == 0
     got = mixing.taken_words(odd).collect()
