@@ -32,7 +32,7 @@ BLOCK_ELEMENTS = frozenset(
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_ELEMENTS = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 SILENT_ELEMENTS = frozenset(
-    "script style title head template noscript iframe object svg math canvas audio video button select textarea datalist"
+    "script style title head template noscript iframe object svg canvas audio video select textarea datalist"
     " xmp noembed noframes".split()
 )
 #: An opening tag of the first kind ends an open element of the second, up to one of the third.
@@ -52,15 +52,20 @@ ELEMENT_WEIGHTS = {
 GOOD_NAMES = re.compile(r"^(article|content|main|post|entry|story|body|text|prose)$")
 BAD_NAMES = re.compile(
     r"^(ad|ads|adv|advert|adverts|advertisement|advertising|adsense|banner|sponsor|sponsored|promo|promoted|promotion|nav|navbar|navigation|menu|"
-    r"breadcrumb|breadcrumbs|footer|foot|header|masthead|topbar|sidebar|side|widget|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|"
-    r"overlay|newsletter|subscribe|signup|login|share|sharing|social|comment|comments|comm|reply|replies|respond|disqus|related|recommended|"
-    r"recommendations|trending|pagination|pager|toolbar|tags|copyright|legal|disclaimer|skip|hidden|form|search)$"
+    r"breadcrumb|breadcrumbs|footer|masthead|topbar|sidebar|widget|cookie|cookies|consent|gdpr|popup|modal|"
+    r"overlay|newsletter|subscribe|signup|login|sharing|comment|comments|respond|disqus|"
+    r"pagination|pager|toolbar)$"
+)
+#: Words that name boilerplate or are what an article is about; they weigh as much as a few words' text can outweigh.
+DOUBTFUL_NAMES = re.compile(
+    r"^(notice|notices|alert|side|foot|header|legal|disclaimer|copyright|tags|hidden|search|skip|form|share|social|comm|reply|replies|related|"
+    r"recommended|recommendations|trending)$"
 )
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-GOOD_NAME, BAD_NAME, HIDDEN = 1.5, -7.0, -20.0
+GOOD_NAME, BAD_NAME, DOUBTFUL_NAME, HIDDEN = 1.5, -7.0, -3.0, -20.0
 LINKED, LENGTH, STOPS = -4.0, 0.45, 0.5
 #: Smoothness between neighbours, and between siblings, both divided by their distance in the tree.
-NEXT, SIBLING = 0.8, 0.8
+NEXT, SIBLING = 1.5, 3.0
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|</?(?=[a-zA-Z])[^>]*$", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -94,6 +99,9 @@ def _own_weight(name: str, attributes: str) -> float:
                 names = {n.lower() for n in _NAME.findall(value)}
                 if any(map(BAD_NAMES.match, names)):
                     weight += BAD_NAME
+                elif any(map(DOUBTFUL_NAMES.match, names)):
+                    # With other words in the name it tells less: what follows is of that kind, or about it.
+                    weight += DOUBTFUL_NAME / len(names)
                 elif any(map(GOOD_NAMES.match, names)):
                     weight += GOOD_NAME
             elif key == "role" and value.lower() in BAD_ROLES:

@@ -569,6 +569,40 @@ def test_article_is_extracted(spark):
     assert "".join(got[5].split()).startswith("Onlywords") or got[5] == ""
 
 
+SHAPE = (
+    '<html><body><nav><a href=x>Home</a></nav><{0}><h2>A heading of it</h2><p>This is the first paragraph of a longer text, with quite a few words'
+    ' in it.</p><p>Short one.</p><p>And here comes another paragraph, which also has enough words to be read.</p></{1}><footer>(c) Someone</footer>'
+)
+PROSE = (
+    "A heading of it\nThis is the first paragraph of a longer text, with quite a few words in it.\nShort one.\n"
+    "And here comes another paragraph, which also has enough words to be read."
+)
+
+
+@pytest.mark.parametrize("name", ["legal", "side", "notice-board", "hidden-gems", "search-engines", "tags", "x3", "post"])
+def test_a_doubtful_name_does_not_empty_an_article(name):
+    assert html.main_text(SHAPE.format(f'article class="{name}"', "article")) == PROSE
+
+
+@pytest.mark.parametrize("name", ["sidebar", "cookie-notice", "comments", "newsletter", "legal", "share"])
+def test_names_of_boilerplate_still_tell(name):
+    assert html.main_text(SHAPE.format(f'div class="{name}"', "div")) == ""
+
+
+def test_the_cut_turns_what_stands_among_the_other_kind():
+    page = SHAPE.format("div class=x3", "div")
+    signs = [b.cost > 0 for b in html.blocks_of(page)]
+    labels = [keep for _, keep in html.labelled_blocks(page)]
+    # The heading alone looks like boilerplate.
+    assert signs == [False, False, True, True, True, False] and labels == [False, True, True, True, True, False]
+    assert html.main_text(page) == PROSE
+
+
+def test_formulas_and_buttons_of_the_text_stay():
+    page = "<article><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is what the <button>Run</button> key gives you here.</p></article>"
+    assert html.main_text(page) == "The sum a+b is what the Run key gives you here."
+
+
 def test_large_page_is_cut_in_time():
     big = "<article>" + "".join(f"<p>Paragraph {i} of a page that goes on for very long, and then some.</p>" for i in range(5000)) + "</article><footer>End</footer>"
     assert html.main_text(big).count("\n") == 4999
