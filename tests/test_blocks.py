@@ -111,3 +111,17 @@ def test_long_block_over_many_bins(spark):
     pieces = clip_to_bins(b)
     assert pieces.count() == 11
     assert pieces.agg(F.sum(F.col("end_pos") - F.col("pos") + 1)).first()[0] == 10 * BORDER + 3
+
+
+def measured(spark):
+    """Blocks and sites whose sizes Spark knows, below its limit for a broadcast."""
+    blocks = spark.sql("select concat('s', id) as sample_id, '1' as contig, cast(id * 100 as int) as pos, "
+                       "cast(id * 100 + 90 as int) as end_pos, 30 as gq, 5 as dp from range(50)")
+    return blocks, spark.sql("select '1' as contig, cast(id * 7 as int) as pos from range(500)")
+
+
+def test_entries_do_not_broadcast_the_listed_sites(spark):
+    blocks, sites = measured(spark)
+    found = reference_entries_at_sites(sites, clip_to_bins(blocks))
+    assert found.count() == sum(1 for i in range(500) if 7 * i < 5000 and 7 * i % 100 <= 90)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
