@@ -125,3 +125,10 @@ def test_entries_do_not_broadcast_the_listed_sites(spark):
     found = reference_entries_at_sites(sites, clip_to_bins(blocks))
     assert found.count() == sum(1 for i in range(500) if 7 * i < 5000 and 7 * i % 100 <= 90)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_summary_does_not_broadcast_the_listed_sites(spark):
+    blocks, sites = measured(spark)
+    found = block_summary_at_sites(sites, clip_to_bins(blocks))
+    assert found.agg(F.sum("n_ref")).first()[0] == sum(1 for i in range(500) if 7 * i < 5000 and 7 * i % 100 <= 90)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
