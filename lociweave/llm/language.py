@@ -20,11 +20,11 @@ from lociweave.llm.common import fold, sheltered, stage
 
 TOP = 300
 MAX_N = 3
-#: Rows a profile learns from, for each language; the rest of the labelled rows is left out.
-LEARN_ROWS = 4096
 #: A text is in no learned language if it fits its best profile worse than this share of what all but
 #: ``LOW`` of the learned rows of the language and of about its length reach.
 LOW, SHARE = 0.002, 0.6
+#: Scores are told apart by this many steps where their low quantiles are taken, which bounds what a class gathers.
+STEPS = 1 << 16
 #: Lengths are told apart by powers of two between these, in characters.
 SHORTEST, LONGEST = 6, 14
 UNKNOWN = "und"
@@ -75,21 +75,17 @@ def _top(grams: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
     return grams[np.lexsort((grams, -counts))[:top]]
 
 
-def learning_rows(docs: DataFrame, learn_rows: int = LEARN_ROWS) -> DataFrame:
-    """``lang, text`` of about ``learn_rows`` rows of each language, chosen by a hash of the id.
+def learning_rows(docs: DataFrame) -> DataFrame:
+    """``lang, text`` of every row that teaches: null languages and null texts teach nothing.
 
-    ``docs`` has ``doc_id, text, lang``; null languages and null texts teach nothing.
+    ``docs`` has ``doc_id, text, lang``.
     """
-    given = sheltered(docs).select("row.doc_id", "row.text", "row.lang").filter("lang is not null and text is not null")
-    share = given.groupBy("lang").agg(F.count("*").alias("n")).select("lang", (F.lit(float(learn_rows)) / F.col("n")).alias("share"))
-    place = F.pmod(F.xxhash64(F.lit("learn"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    # One row for each language: as few as languages, and broadcast only if Spark measures it as small.
-    return given.join(stage(share, "shares"), "lang").filter(place < F.col("share")).select("lang", "text")
+    return sheltered(docs).select("row.lang", "row.text").filter("lang is not null and text is not null")
 
 
-def learn_profiles(docs: DataFrame, top: int = TOP, learn_rows: int = LEARN_ROWS) -> DataFrame:
-    """``lang, gram, place``: each language's ``top`` n-grams, from :func:`learning_rows`."""
-    return _profiles(learning_rows(docs, learn_rows), top)
+def learn_profiles(docs: DataFrame, top: int = TOP) -> DataFrame:
+    """``lang, gram, place``: each language's ``top`` n-grams, from all :func:`learning_rows`."""
+    return _profiles(learning_rows(docs), top)
 
 
 def _profiles(chosen: DataFrame, top: int) -> DataFrame:
@@ -159,12 +155,19 @@ def _length_class(text: str) -> Column:
 def least_scores(chosen: DataFrame, profiles: DataFrame) -> DataFrame:
     """``lang, length_class, least``: the score that a text of a language and length must reach, for every class of every language.
 
-    A class takes the lowest of its own learned rows and of the classes beside
-    it; one without rows near takes the lowest of the language.
+    ``chosen`` has ``lang, text``. A class takes the lowest of its own learned
+    rows and of the classes beside it; one without rows near takes the lowest of the language.
     """
-    told = identify(chosen, profiles).filter("lang_pred = row.lang")
-    low = told.groupBy(F.col("row.lang").alias("lang"), _length_class("row.text").alias("length_class")).agg(
-        F.percentile("score", F.lit(LOW)).alias("low")
+    told = identify(chosen, profiles)
+    return _least_scores(told.select(F.col("row.lang").alias("lang"), "lang_pred", _length_class("row.text").alias("length_class"), "score"))
+
+
+def _least_scores(told: DataFrame) -> DataFrame:
+    """:func:`least_scores` of learned rows told before: ``lang, lang_pred, length_class, score``."""
+    steps = told.filter("lang_pred = lang").groupBy("lang", "length_class", F.floor(F.col("score") * STEPS).alias("step"))
+    # Counted per step map-side, so a class gathers its steps and not its rows.
+    low = steps.agg(F.count("*").alias("n")).groupBy("lang", "length_class").agg(
+        (F.percentile("step", F.lit(LOW), F.col("n")) / STEPS).alias("low")
     )
     # A few rows for each language.
     near = low.select("lang", "low", F.explode(F.array(*[F.col("length_class") + d for d in (-1, 0, 1)])).alias("length_class"))
@@ -184,9 +187,12 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     rows of their length do: other languages in the same letters, and
     gibberish. Of texts of a few words it cannot be told, and they stay.
     """
-    chosen = stage(learning_rows(labelled_fold(docs)), "learning")
-    profiles = stage(_profiles(chosen, TOP), "profiles")
-    least = stage(least_scores(chosen, profiles), "least")
-    told = identify(docs, profiles).filter(F.col("lang_pred") != UNKNOWN).withColumn("its_class", _length_class("row.text"))
+    profiles = stage(learn_profiles(labelled_fold(docs)), "profiles")
+    # Told once, and written: limits and verdicts both come from it.
+    told = stage(identify(docs, profiles).withColumn("its_class", _length_class("row.text")), "told")
+    learned = told.filter(fold(F.col("row.doc_id"), 4) != 2).filter("row.lang is not null and row.text is not null")
+    least = stage(
+        _least_scores(learned.select("row.lang", "lang_pred", F.col("its_class").alias("length_class"), "score")), "least"
+    )
     good = (F.col("lang_pred") == F.col("lang")) & (F.col("its_class") == F.col("length_class")) & (F.col("score") >= F.col("least"))
-    return told.join(least, good, "left_semi").select("row.*")
+    return told.filter(F.col("lang_pred") != UNKNOWN).join(least, good, "left_semi").select("row.*")

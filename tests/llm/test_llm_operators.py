@@ -219,6 +219,14 @@ def test_limits_of_lengths_without_rows(spark):
     assert all(0 < r.least < 1 for r in least) and len({round(r.least, 6) for r in least}) == 1
 
 
+def test_every_labelled_row_teaches(spark):
+    docs = spark.range(9000).selectExpr("id as doc_id", "concat('word ', id) as text", "if(id < 8000, 'en', null) as lang")
+    assert language.learning_rows(docs).count() == 8000
+    late = docs.withColumn("text", F.expr("if(doc_id < 7990, 'ab', repeat('q', 5000))"))
+    first = language.learn_profiles(late).filter("place = 0").collect()
+    assert [(r.lang, r.gram & ((1 << 21) - 1)) for r in first] == [("en", ord("q"))]
+
+
 # Mixing
 
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
