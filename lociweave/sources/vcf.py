@@ -48,7 +48,7 @@ def parse_gvcf(lines: DataFrame) -> DataFrame:
     malformed. The column header line of a file is kept as one row marked
     ``is_header``, so that a file without records still shows.
     """
-    f = F.split("value", "\t")
+    f = F.col("_fields")
     keys, values = F.split(F.get(f, F.lit(8)), ":"), F.split(F.get(f, F.lit(9)), ":")
     ids = F.get(f, F.lit(2))
     pos = F.get(f, F.lit(1)).try_cast("int")
@@ -57,7 +57,8 @@ def parse_gvcf(lines: DataFrame) -> DataFrame:
     if "seconds" in lines.columns:
         ended = F.col("value").isNull()
         wanted, closing = wanted | ended, [ended.alias("is_end"), "seconds", "error"]
-    data = lines.filter(wanted)
+    # A generated column is split once a line; as a plain one it would be split anew in every filter on the records.
+    data = lines.filter(wanted).select("*", F.explode(F.array(F.split("value", "\t"))).alias("_fields"))
     return data.select(
         "gvcf",
         header.alias("is_header"),

@@ -229,3 +229,13 @@ def test_library_stands_without_the_training_data_packages():
         "q, o = e.queries(), e.oracle_sql(); assert len(q) > 60 and set(o) <= set(q) and not any(k.startswith('op') for k in q)"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
+
+
+def test_lines_are_split_once(spark):
+    from lociweave.sources.vcf import good_records, parse_gvcf
+
+    line = "concat_ws('\t', 'chr1', id, '.', 'A', 'C,<NON_REF>', '.', '.', '.', 'GT:DP', '0/1:7')"
+    lines = spark.range(3).selectExpr(f"if(id = 2, 'chr1', {line}) as value", "'a.gvcf.gz' as gvcf")
+    records = good_records(parse_gvcf(lines))
+    assert sorted((r.sample_id, r.pos, r.dp) for r in records.collect()) == [("a", 0, 7), ("a", 1, 7)]
+    assert records._jdf.queryExecution().optimizedPlan().toString().count(", \t, -1)") == 1
