@@ -115,3 +115,11 @@ def test_bulk_lines(spark):
     assert json.loads(lines[0]) == {"index": {"_index": "idx", "_id": "1-5-A-C"}}
     doc = json.loads(lines[1])
     assert len(doc) == 27 and doc["an"] == 4 and doc["gene_symbol"] is None and doc["rsids"] == []
+
+
+def test_first_per_key_carries_each_column_once(spark, rows):
+    df = spark.sql("select id % 2 as k, cast(9 - id as int) as a, concat('x', id) as b from range(10)")
+    got = A.first_per_key(df, ["k"], order=["a", "b"])
+    assert rows(got) == [(0, 1, "x8"), (1, 0, "x9")] and got.columns == ["k", "a", "b"]
+    ranked = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "min(struct" in line]
+    assert len(ranked) == 1 and ranked[0].count("_o") == 2 and ", b, b#" not in ranked[0]
