@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lociweave.functions.alleles import pad, without_non_ref
 from lociweave.genome import on_cohort_contig, rename_contig
-from lociweave.operators.blocks import carve_blocks, position_bin
+from lociweave.operators.blocks import carve_blocks
 
 LOCUS = ["contig", "pos"]
 #: Positions of one span, as a power of two: a megabase.
@@ -63,16 +63,17 @@ def block_records(records: DataFrame) -> DataFrame:
 
 
 def one_record_per_locus(records: DataFrame) -> DataFrame:
-    """One record per sample and locus: highest gq, ties by alleles."""
-    best = Window.partitionBy("sample_id", "contig", "bin", "pos").orderBy(
-        F.desc_nulls_last("gq"), "ref", "alts"
-    )
-    return (
-        records.withColumn("bin", position_bin("pos"))
-        .withColumn("_nth", F.row_number().over(best))
-        .filter("_nth = 1")
-        .drop("_nth", "bin")
+    """One record per sample and locus: highest gq, ties by alleles, then by the rest of the record.
+
+    Records are brought together by locus, as the allele lists and the joins after this
+    need them, so a merge shuffles a record once. Every column that a merge uses is
+    part of the order: each of its uses then starts from the same shuffled rows.
+    """
+    best = Window.partitionBy(*LOCUS).orderBy(
+        "sample_id", F.desc_nulls_last("gq"), "ref", "alts", "LGT", "dp", "rsids"
     )
+    again = (F.row_number().over(best) > 1) & F.lag("sample_id").over(best).eqNullSafe(F.col("sample_id"))
+    return records.withColumn("_again", again).filter(~F.col("_again")).drop("_again")
 
 
 def duplicate_loci(records: DataFrame) -> DataFrame:
@@ -93,33 +94,39 @@ def unify_alleles(records: DataFrame, previous_sites: DataFrame | None = None) -
     """
     shapes = records.select(*LOCUS, "ref", F.explode("alts").alias("alt"), "rsids").groupBy(*LOCUS, "ref", "alt").agg(
         F.array_distinct(F.flatten(F.collect_set("rsids"))).alias("rsids")
-    ).withColumn("known_as", F.lit(None).cast("int"))
-    if previous_sites is not None:
-        earlier = previous_sites.select(
-            *LOCUS, F.get("alleles", F.lit(0)).alias("ref"), F.col("rsids"),
-            F.posexplode(F.expr("slice(alleles, 2, greatest(size(alleles) - 1, 0))")).alias("known_as", "alt"),
-        )
-        shapes = shapes.unionByName(earlier)
+    )
+    no_strings = F.array().cast("array<string>")
     gathered = shapes.groupBy(*LOCUS).agg(
-        F.max(F.struct(F.length("ref").alias("len"), F.col("ref"))).alias("longest"),
-        F.collect_list(F.struct("known_as", "ref", "alt")).alias("shapes"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("rsids")))).alias("rsids"),
-    ).withColumn("ref", F.col("longest.ref"))
-
-    def padded(shape: Column) -> Column:
-        return pad(shape["alt"], shape["ref"], F.col("ref"))
-
-    known = F.array_sort(F.filter("shapes", lambda s: s["known_as"].isNotNull()))
-    fresh = F.filter("shapes", lambda s: s["known_as"].isNull())
-    listed = gathered.withColumn("_known", F.transform(known, padded)).withColumn(
-        "_fresh", F.array_sort(F.array_except(F.transform(fresh, padded), F.col("_known")))
+        F.max(_sized("ref")).alias("longest"),
+        F.collect_list(F.struct("ref", "alt")).alias("shapes"),
+        F.flatten(F.collect_list("rsids")).alias("rsids"),
     )
+    if previous_sites is None:
+        gathered = gathered.withColumns({"known_ref": F.lit(None).cast("string"), "known": no_strings, "known_rsids": no_strings})
+    else:
+        # One row per locus on either side. A join, not a union: Spark 4.1 takes a union of tables partitioned by locus as such and may fail on it.
+        earlier = previous_sites.filter(F.size("alleles") > 1).select(
+            *LOCUS, F.get("alleles", F.lit(0)).alias("known_ref"), F.expr("slice(alleles, 2, size(alleles) - 1)").alias("known"),
+            F.col("rsids").alias("known_rsids"),
+        )
+        gathered = gathered.join(earlier, LOCUS, "full")
+    merged = gathered.withColumn("ref", F.greatest("longest", F.when(F.col("known_ref").isNotNull(), _sized("known_ref")))["ref"])
+    fresh = F.transform("shapes", lambda s: pad(s["alt"], s["ref"], F.col("ref")))
+    listed = merged.withColumn(
+        "_known", F.coalesce(F.transform("known", lambda alt: pad(alt, F.col("known_ref"), F.col("ref"))), no_strings)
+    ).withColumn("_fresh", F.array_sort(F.array_except(F.coalesce(fresh, no_strings), F.col("_known"))))
+    both = F.concat(F.coalesce("rsids", no_strings), F.coalesce("known_rsids", no_strings))
     return listed.select(
-        *LOCUS, F.concat(F.array("ref"), "_known", "_fresh").alias("alleles"), "rsids",
-        (F.size(fresh) > 0).alias("touched"),
+        *LOCUS, F.concat(F.array("ref"), "_known", "_fresh").alias("alleles"),
+        F.array_sort(F.array_distinct(both)).alias("rsids"), F.col("shapes").isNotNull().alias("touched"),
     )
 
 
+def _sized(ref: str) -> Column:
+    """A reference by length, then text."""
+    return F.struct(F.length(ref).alias("len"), F.col(ref).alias("ref"))
+
+
 def local_alleles(ref: Column, alts: Column, alleles: Column) -> Column:
     """The map from a record's own alleles to the locus list; element 0 is 0."""
     longest = F.get(alleles, F.lit(0))
@@ -133,8 +140,8 @@ def calls_from_records(records: DataFrame, sites: DataFrame) -> DataFrame:
     """Variant records as calls over the unified alleles of their locus.
 
     A genotype that points at the dropped placeholder has no allele in the
-    list and becomes a no-call. The join is on the locus; the site side has
-    one row per locus, and a hot locus is split by the adaptive skew join.
+    list and becomes a no-call. The join is on the locus, where records of
+    :func:`one_record_per_locus` already lie: one row per sample at most, in one task.
     """
     named = F.array_max("LGT.alleles") <= F.size("alts")
     return records.join(sites.select(*LOCUS, "alleles"), LOCUS).select(
@@ -150,18 +157,31 @@ def combine(records: DataFrame, previous: Cohort | None = None) -> Cohort:
     ``ref_blocks`` of the result hold earlier entries unchanged;
     :func:`new_entries` gives the added ones alone.
     """
-    added = new_entries(records, previous.sites if previous else None)
+    kept = filter_records(records)
+    variants = one_record_per_locus(variant_records(kept))
+    # Here the whole list is asked for: one grouping gives the loci that records touch and the others.
+    sites = unify_alleles(variants, previous.sites if previous else None).drop("touched")
+    added = _entries(kept, variants, sites, records)
     if previous is None:
         return added
-    untouched = previous.sites.join(added.sites.select(*LOCUS), LOCUS, "left_anti")
     return Cohort(
-        sites=untouched.unionByName(added.sites),
+        sites=sites,
         calls=previous.calls.unionByName(added.calls),
         ref_blocks=previous.ref_blocks.unionByName(added.ref_blocks),
         samples=previous.samples.unionByName(added.samples, allowMissingColumns=True),
     )
 
 
+def _entries(kept: DataFrame, variants: DataFrame, sites: DataFrame, samples: DataFrame) -> Cohort:
+    """The entries of some records over a site list that has their loci."""
+    return Cohort(
+        sites=sites,
+        calls=calls_from_records(variants, sites),
+        ref_blocks=carve_blocks(block_records(kept), variants).drop("bin"),
+        samples=samples.select("sample_id").distinct(),
+    )
+
+
 def sites_at(previous_sites: DataFrame, records: DataFrame) -> DataFrame:
     """Earlier sites at the loci of some records.
 
@@ -191,12 +211,7 @@ def new_entries(
     variants = stage(one_record_per_locus(variant_records(kept)), "variants")
     earlier = None if previous_sites is None else sites_at(previous_sites, variants)
     sites = stage(unify_alleles(variants, earlier).drop("touched"), "sites")
-    return Cohort(
-        sites=sites,
-        calls=calls_from_records(variants, sites),
-        ref_blocks=carve_blocks(block_records(kept), variants).drop("bin"),
-        samples=(records if samples is None else samples).select("sample_id").distinct(),
-    )
+    return _entries(kept, variants, sites, records if samples is None else samples)
 
 
 def latest_sites(deltas: DataFrame, order: str) -> DataFrame:

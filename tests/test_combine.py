@@ -111,3 +111,22 @@ def test_a_locus_that_holds_most_records(spark, n):
     stats = per_allele_string(cohort)
     an, counts = stats["1", 500]
     assert an == 2 * n and counts["CT"][0] == n // 3 and counts["C"][0] == n - n // 3
+
+
+def test_records_of_a_merge_are_brought_together_by_locus_alone(spark):
+    """One shuffle of a record serves the choice of records, the allele lists and the calls of its run."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables that are too large
+    try:
+        both = C.combine(frame(spark, SECOND), C.combine(frame(spark, FIRST)))
+        plan = both.calls.join(both.sites, C.LOCUS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(contig" in plan and "hashpartitioning(sample_id" not in plan
+    assert both.calls.join(both.sites, C.LOCUS).count() == both.calls.count() == 7
+
+
+def test_equal_records_are_chosen_by_the_rest_of_the_record(spark, rows):
+    twice = [record("a", "1", 5, "A", ["C"], gt) for gt in ([1, 1], [0, 1], [0, 1])] + [record(None, "1", 5, "A", ["C"], gt) for gt in ([0, 1], None)]
+    for given in (twice, twice[::-1]):
+        kept = C.one_record_per_locus(C.filter_records(frame(spark, given)))
+        assert rows(kept, "sample_id", "LGT.alleles") == sorted([("a", [0, 1]), (None, None)], key=repr)
