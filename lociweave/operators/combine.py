@@ -66,8 +66,8 @@ def one_record_per_locus(records: DataFrame) -> DataFrame:
     """One record per sample and locus: highest gq, ties by alleles, then by the rest of the record.
 
     Records are brought together by locus, as the allele lists and the joins after this
-    need them, so a merge shuffles a record once. Every column that a merge uses is
-    part of the order: each of its uses then starts from the same shuffled rows.
+    need them, so nothing after this shuffles them again. Every column that a merge uses
+    is part of the order, so its uses need the same shuffled rows and Spark can share some of them.
     """
     best = Window.partitionBy(*LOCUS).orderBy(
         "sample_id", F.desc_nulls_last("gq"), "ref", "alts", "LGT", "dp", "rsids"

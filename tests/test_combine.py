@@ -114,7 +114,7 @@ def test_a_locus_that_holds_most_records(spark, n):
 
 
 def test_records_of_a_merge_are_brought_together_by_locus_alone(spark):
-    """One shuffle of a record serves the choice of records, the allele lists and the calls of its run."""
+    """The choice of records, the allele lists and the calls of a run all work on records that lie by locus."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables that are too large
     try:
         both = C.combine(frame(spark, SECOND), C.combine(frame(spark, FIRST)))
